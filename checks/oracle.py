@@ -169,6 +169,11 @@ SELECT simulation_id, count(*) AS session_ticks,
        {rounded("avg(fuel_rate_lph)", 3)} AS avg_fuel_lph,
        max_by(engine_wear, step) AS total_wear
 FROM telemetry GROUP BY simulation_id"""
+_HISTORY = """
+SELECT simulation_id, step, simulation_time AS t, coalesce(engine_rpm, 0) AS rpm, coalesce(current_gear, 0) AS gear,
+       coalesce(speed_kmh, 0) AS speed_kmh
+FROM telemetry QUALIFY row_number() OVER (PARTITION BY simulation_id ORDER BY step DESC) <= 300"""
+_SMOOTHED = f"SELECT simulation_id, step, {rounded('display_score', 6)} AS display_score FROM smoothed"
 _COACHING = """
 SELECT simulation_id, step, score, {display} AS display_score,
        CASE WHEN score > 70 THEN 'aggressive' WHEN score > 30 THEN 'normal' ELSE 'calm' END AS style_key,
@@ -277,7 +282,7 @@ FROM telemetry""",
         ),
         "session_summary": with_tables(_STREAM_STATS, "telemetry"),
         "score_ema": with_tables(
-            f"SELECT simulation_id, step, {rounded('display_score', 6)} AS display_score FROM smoothed", "smoothed"
+            _SMOOTHED, "smoothed"
         ),
         "slow_ema": with_tables(
             f"""
@@ -298,10 +303,7 @@ FROM silver""",
             "silver",
         ),
         "last_300_history": with_tables(
-            f"""
-SELECT simulation_id, step, simulation_time AS t, coalesce(engine_rpm, 0) AS rpm, coalesce(current_gear, 0) AS gear,
-       coalesce(speed_kmh, 0) AS speed_kmh
-FROM telemetry QUALIFY row_number() OVER (PARTITION BY simulation_id ORDER BY step DESC) <= 300""",
+            _HISTORY,
             "telemetry",
         ),
         "latest_state": with_tables(
@@ -375,7 +377,17 @@ SELECT simulation_id, step, coalesce(engine_rpm, 0) AS engine_rpm, coalesce(spee
 FROM telemetry""",
             "telemetry",
         ),
-        "stream_bronze_append": with_tables('SELECT * FROM kafka', "kafka"),
+        "stream_bronze_append": with_tables(
+            'SELECT kafka_ts, CAST(partition AS BIGINT) AS partition, "offset", raw_event FROM kafka', "kafka"
+        ),
+        "stream_silver_split": with_tables(
+            """
+SELECT CASE WHEN is_valid THEN 'silver' ELSE 'quarantine' END AS part, simulation_id, count(*) AS part_rows
+FROM checked WHERE is_valid IS NOT NULL GROUP BY 1, 2""",
+            "checked",
+        ),
         "stream_session_stats": with_tables(_STREAM_STATS, "telemetry"),
+        "stream_history": with_tables(_HISTORY, "telemetry"),
         "stream_serving_features": with_tables(f"SELECT {_SERVED} FROM serving", "serving"),
+        "stream_score_ema": with_tables(_SMOOTHED, "smoothed"),
     }

@@ -17,7 +17,13 @@ from tachyline.schemas import (
     SILVER_COLUMNS,
     SILVER_PATHS,
 )
+from tachyline.session import fresh_path, settings, stage
+from tachyline.sources import streams
 from tachyline.sources.recorded import telemetry
+from tachyline.sources.tables import read_bronze
+from tachyline.streaming import ingest, serving
+from tachyline.streaming import live as live_streams
+from tachyline.streaming.windows import use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,14 +275,14 @@ def classification_report(spark, directory):
 @query
 def rf_scores(spark, directory):
     train, test = _split(spark, directory)
-    model = forest.fit_forest(train, trees=CHECK_TREES)
+    model = forest.fit_forest(stage(train, "train"), trees=CHECK_TREES)
     return forest.score(model, test).select("simulation_id", "step", "driving_style", "label", "score", "confidence")
 
 
 @query
 def feature_importance(spark, directory):
     train, _ = _split(spark, directory)
-    return forest.feature_importance(spark, forest.fit_forest(train, trees=CHECK_TREES))
+    return forest.feature_importance(spark, forest.fit_forest(stage(train, "train"), trees=CHECK_TREES))
 
 
 @query
@@ -468,3 +474,98 @@ def control_clamp(spark, directory):
 def default_fill(spark, directory):
     rows = telemetry(spark, directory, extended=True).union()
     return rows.select("simulation_id", "step", *[events.with_default(name) for name in events.FIELD_DEFAULTS])
+
+
+def as_stream(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` in no order, as a stream of at least three micro-batches read from files."""
+    path = fresh_path(df.sparkSession, name)
+    df.repartition(8).write.parquet(path)
+    return streams.file_stream(df.sparkSession, path, df.schema, max_files=3)
+
+
+def streamed(spark: SparkSession, name: str, run: Callable[[str, str], None]) -> str:
+    """Run a bounded stream into a fresh table and return its path."""
+    path = fresh_path(spark, name)
+    run(path, f"{path}.checkpoint")
+    return path
+
+
+@query
+def stream_bronze_append(spark, directory):
+    rows = as_stream(kafka_rows(spark, directory), "messages")
+    path = streamed(spark, "bronze", lambda to, log: ingest.ingest_bronze(rows, to, log, True).awaitTermination())
+    return read_bronze(spark, path)
+
+
+@query
+def stream_silver_split(spark, directory):
+    """Valid, quarantined and lost rows per table, from JSON events in micro-batches."""
+    texts = raw_events(spark, directory).select(
+        F.lit(None).cast("timestamp").alias("kafka_ts"),
+        F.lit(0).cast("long").alias("partition"),
+        F.lit(0).cast("long").alias("offset"),
+        "raw_event",
+    )
+    stream = as_stream(texts, "raw-events")
+
+    def run(path: str, log: str) -> None:
+        parts = [f"{path}/{part}" for part in ("silver", "quarantine", "metrics")]
+        ingest.split_stream(stream, *parts, log, bounded=True).awaitTermination()
+
+    path = streamed(spark, "split", run)
+    counts = [
+        spark.read.parquet(f"{path}/{part}").select(F.lit(part).alias("part"), "simulation_id")
+        for part in ("silver", "quarantine")
+    ]
+    return counts[0].unionByName(counts[1]).groupBy("part", "simulation_id").agg(F.count(F.lit(1)).alias("part_rows"))
+
+
+@query
+def stream_session_stats(spark, directory):
+    samples = telemetry(spark, directory, extended=True).union()
+    stream = as_stream(samples.select("simulation_id", "step", "speed_kmh", "fuel_rate_lph", "engine_wear"), "samples")
+
+    def run(path: str, log: str) -> None:
+        live_streams.update_table(live_streams.session_counters(stream), path, log, True).awaitTermination()
+
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "session-stats", run)
+    return rounded(live_streams.current_rows(spark, path), {"avg_speed_kmh": 6, "avg_fuel_lph": 3})
+
+
+@query
+def stream_history(spark, directory):
+    stream = as_stream(telemetry(spark, directory).union(), "history-samples")
+
+    def run(path: str, log: str) -> None:
+        live_streams.keep_history(stream, path, log, True).awaitTermination()
+
+    return live_streams.current_history(spark, streamed(spark, "history", run))
+
+
+@query
+def stream_serving_features(spark, directory):
+    stream = as_stream(serving.live_samples(telemetry(spark, directory).union()), "live-samples")
+
+    def run(path: str, log: str) -> None:
+        streams.append_parquet(serving.serving_features(stream), path, log, True).awaitTermination()
+
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        use_rocksdb(spark)
+        path = streamed(spark, "serving", run)
+    return rounded(spark.read.parquet(path), SERVING_PLACES)
+
+
+@query
+def stream_score_ema(spark, directory):
+    """Scores as a prediction stream would deliver them, smoothed with keyed state."""
+    scored = predictions(spark, directory).union().select("simulation_id", "step", "score")
+    stream = as_stream(scored, "scores")
+
+    def run(path: str, log: str) -> None:
+        streams.append_parquet(serving.smoothed_scores(stream), path, log, True).awaitTermination()
+
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        use_rocksdb(spark)
+        path = streamed(spark, "smoothed", run)
+    return rounded(spark.read.parquet(path), {"display_score": 6}).select("simulation_id", "step", "display_score")

@@ -163,16 +163,15 @@ class LongLane:
 
         ``index`` names a row number within the simulation, from 1, if there is one.
         """
-        if max(before, after) > self.block_rows:
-            raise ValueError("a frame must not be longer than a block")
+        block_rows = max(self.block_rows, before, after)
         numbered = df if index else self.running(df, {_SEQ: row_count()}, order)
         at = F.col(index or _SEQ) - 1
-        place = F.pmod(at, F.lit(self.block_rows))
-        own = F.floor(at / self.block_rows)
+        place = F.pmod(at, F.lit(block_rows))
+        own = F.floor(at / block_rows)
         targets = F.array_compact(
             F.array(
                 own,
-                F.when(place >= self.block_rows - before, own + 1),
+                F.when(place >= block_rows - before, own + 1),
                 F.when((place < after) & (own > 0), own - 1),
             )
         )

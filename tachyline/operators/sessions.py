@@ -62,7 +62,7 @@ def smoothed(
         .withColumn("__x", value * weight / F.pow(F.lit(keep), F.col("__place")))
     )
     in_chunk = Window.partitionBy("simulation_id", "__chunk").orderBy("__n")
-    summed = placed.withColumn("__own", F.sum("__x").over(in_chunk)).withColumn(
+    summed = placed.withColumn("__mine", F.sum("__x").over(in_chunk)).withColumn(
         "__total", F.sum("__x").over(in_chunk.rowsBetween(*_WHOLE)) * keep ** (chunk - 1)
     )
 
@@ -72,11 +72,11 @@ def smoothed(
 
     carried = lane.framed(summed, earlier, before=3 * chunk, index="__n")
     result = (
-        F.coalesce("__own", F.lit(0.0)) * F.pow(F.lit(keep), F.col("__place"))
+        F.coalesce("__mine", F.lit(0.0)) * F.pow(F.lit(keep), F.col("__place"))
         + F.col("__earlier") * F.pow(F.lit(keep), F.col("__place") + 1)
         + F.pow(F.lit(keep), F.col("__n")) * initial
     )
-    helpers = ["__n", "__place", "__chunk", "__x", "__own", "__total", "__earlier"]
+    helpers = ["__n", "__place", "__chunk", "__x", "__mine", "__total", "__earlier"]
     return carried.withColumn(name, result).drop(*helpers)
 
 

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,23 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the length of a block; dots are written as double underscores."""
+    wanted = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, named by ``spark.checkpoint.dir``.
 
@@ -47,6 +66,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return remembered
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the scratch area and read it back.
 
@@ -55,6 +78,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     and push filters.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
