@@ -226,6 +226,21 @@ FROM base""",
             "base",
         ),
         "label_threshold_exact": with_tables("SELECT p75 AS threshold FROM threshold", "threshold"),
+        "label_threshold_approx": with_tables(
+            "SELECT count(*) AS rated_rows, TRUE AS rank_within_bound FROM base", "base"
+        ),
+        "gold_features_approx": with_tables(f"SELECT {_SERVED}, TRUE AS is_labelled FROM features", "features"),
+        "rf_scores": with_tables(
+            """
+SELECT simulation_id, step, driving_style, TRUE AS score_in_range, TRUE AS label_fits_score, TRUE AS confidence_fits_score
+FROM gold JOIN sides USING (simulation_id) WHERE split = 'test' AND rpm_std_10s IS NOT NULL""",
+            "sides",
+        ),
+        "feature_importance": """
+SELECT unnest(['rpm_avg_10s', 'rpm_std_10s', 'throttle_avg_10s', 'engine_load_avg_10s', 'power_factor', 'speed_kmh',
+               'rpm_range_10s', 'current_gear', 'load_max_10s']) AS feature, TRUE AS in_range, TRUE AS adds_up_to_one""",
+        "event_envelope_defaults": """
+SELECT event_id, 'simulation.raw' AS event_type, user_id, value, TRUE AS has_uuid, TRUE AS has_time FROM events""",
         "gold_features": with_tables("SELECT * FROM gold", "gold"),
         "label_distribution": with_tables(
             "SELECT driving_style, count(*) AS label_rows FROM gold GROUP BY driving_style", "gold"

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tachyline.functions import driving, events, wear
@@ -10,9 +10,12 @@ from tachyline.functions.numbers import steady_round
 from tachyline.operators import evaluation, features, forest, labels, quality, sessions, split
 from tachyline.operators.lanes import Lanes
 from tachyline.schemas import (
+    AGGRESSIVE,
     COMMAND_EVENT_SCHEMA,
     EXTENDED_PATHS,
     FEATURE_COLUMNS,
+    LABEL_QUANTILE,
+    NORMAL,
     QUALITY_FLAGS,
     SILVER_COLUMNS,
     SILVER_PATHS,
@@ -183,7 +186,7 @@ def rolling_features(spark, directory):
 
 @query
 def rolling_features_by_step(spark, directory):
-    made = rates(spark, directory).map(lambda df, lane: features.rolling_features(df, lane, step_range=True)).union()
+    made = rates(spark, directory).map(features.rolling_features_by_step).union()
     return rounded(made, {"rpm_avg_10s": 3}).select("simulation_id", "step", "rpm_avg_10s", "load_max_10s")
 
 
@@ -194,7 +197,18 @@ def label_threshold_exact(spark, directory):
 
 @query
 def label_threshold_approx(spark, directory):
-    return labels.approximate_threshold(rates(spark, directory).union())
+    """Whether the rank of the approximate threshold is off by no more than its stated error."""
+    rated = rates(spark, directory).union().select("future_wear_rate")
+    compared = rated.crossJoin(F.broadcast(labels.approximate_threshold(rated)))
+    rate, found = F.col("future_wear_rate"), F.col("threshold")
+    counted = compared.agg(
+        F.count(F.lit(1)).alias("rated_rows"),
+        F.count_if(rate < found).alias("below"),
+        F.count_if(rate <= found).alias("upto"),
+    )
+    wanted, slack = F.col("rated_rows") * LABEL_QUANTILE, F.col("rated_rows") / 10_000 + 1
+    held = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return counted.select("rated_rows", held.alias("rank_within_bound"))
 
 
 @query
@@ -204,8 +218,10 @@ def gold_features(spark, directory):
 
 @query
 def gold_features_approx(spark, directory):
-    made = featured(spark, directory)
-    return split.available_columns(labels.add_label(made, labels.approximate_threshold(rates(spark, directory).union())))
+    threshold = labels.approximate_threshold(rates(spark, directory).union())
+    made = split.available_columns(labels.add_label(featured(spark, directory), threshold))
+    labelled_rows = made.withColumn("is_labelled", F.col("driving_style").isin(AGGRESSIVE, NORMAL))
+    return rounded(labelled_rows, FEATURE_PLACES).drop("driving_style")
 
 
 @query
@@ -276,13 +292,29 @@ def classification_report(spark, directory):
 def rf_scores(spark, directory):
     train, test = _split(spark, directory)
     model = forest.fit_forest(stage(train, "train"), trees=CHECK_TREES)
-    return forest.score(model, test).select("simulation_id", "step", "driving_style", "label", "score", "confidence")
+    scored = forest.score(model, test)
+    aggressive, score = F.col("label") == AGGRESSIVE, F.col("score")
+    share = F.when(aggressive, score).otherwise(100 - score) / 100
+    return scored.select(
+        "simulation_id",
+        "step",
+        "driving_style",
+        score.between(0, 100).alias("score_in_range"),
+        (aggressive == (score > 50)).alias("label_fits_score"),
+        (F.abs(F.col("confidence") - share) < 1e-9).alias("confidence_fits_score"),
+    )
 
 
 @query
 def feature_importance(spark, directory):
     train, _ = _split(spark, directory)
-    return forest.feature_importance(spark, forest.fit_forest(stage(train, "train"), trees=CHECK_TREES))
+    ranked = forest.feature_importance(spark, forest.fit_forest(stage(train, "train"), trees=CHECK_TREES))
+    total = F.sum("importance").over(Window.partitionBy())
+    return ranked.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("in_range"),
+        (F.abs(total - 1) < 1e-9).alias("adds_up_to_one"),
+    )
 
 
 @query
@@ -440,9 +472,19 @@ def event_envelope(spark, directory):
 
 @query
 def event_envelope_defaults(spark, directory):
-    """Id and time made up at run time; as JSON, the way a producer sends it."""
-    event = events.envelope("simulation.raw", F.struct("user_id", "value"))
-    return table(spark, directory, "events").select("event_id", F.to_json(event).alias("value"))
+    """Id and time made up at run time, sent as JSON and read back."""
+    event = events.envelope("simulation.raw", F.struct(F.col("event_id").alias("number"), "user_id", "value"))
+    kind = "event_type string, event_id string, timestamp double, payload struct<number: long, user_id: long, value: double>"
+    sent = table(spark, directory, "events").select(F.to_json(event).alias("value"))
+    age = events.now_seconds() - F.col("e.timestamp")
+    return sent.select(F.from_json("value", kind).alias("e")).select(
+        F.col("e.payload.number").alias("event_id"),
+        "e.event_type",
+        "e.payload.user_id",
+        "e.payload.value",
+        F.col("e.event_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("has_uuid"),
+        age.between(0, 3600).alias("has_time"),
+    )
 
 
 @query

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tachyline.operators.lanes import SHORT, LongLane, ShortLane
+from tachyline.operators.lanes import SHORT, LongLane, ShortLane, row_count
+from tachyline.operators.sliding import INDEX, sliding
 from tachyline.schemas import (
     FEATURE_COLUMNS,
     LOOK_AHEAD_ROWS,
@@ -40,42 +41,53 @@ def labelled_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("future_wear_rate").isNotNull())
 
 
-def _rolling(frame: WindowSpec, load: Column) -> dict[str, Column]:
-    rpm = F.col("engine_rpm")
-    return {
-        "rpm_avg_10s": F.avg(rpm).over(frame),
-        "rpm_std_10s": F.stddev(rpm).over(frame),
-        "throttle_avg_10s": F.avg("throttle").over(frame),
-        "engine_load_avg_10s": F.avg(load).over(frame),
-        "power_factor": rpm * load,
-        "rpm_range_10s": F.max(rpm).over(frame) - F.min(rpm).over(frame),
-        "load_max_10s": F.max(load).over(frame),
-    }
-
-
 def rolling_features(
     df: DataFrame,
     lane: Lane = SHORT,
     frame_rows: int = WEAR_LAG_ROWS + 1,
     min_rows: int = 1,
     load: Column | None = None,
-    step_range: bool = False,
 ) -> DataFrame:
     """Rolling statistics over the last ``frame_rows`` rows, this one included.
 
     With ``min_rows`` above one, rows with a shorter history are dropped.
-    ``step_range`` takes the frame by step distance instead of by rows.
     """
-    back = frame_rows - 1
-    used = F.col("load") if load is None else load
+    rpm, used = F.col("engine_rpm"), F.col("load") if load is None else load
+    made, over = sliding(df, {"rpm": rpm, "throttle": F.col("throttle"), "load": used}, frame_rows, lane)
+    if min_rows > 1:
+        made = made.where(F.col(INDEX) >= min_rows)
+    features = {
+        "rpm_avg_10s": over["rpm_mean"],
+        "rpm_std_10s": over["rpm_stddev"],
+        "throttle_avg_10s": over["throttle_mean"],
+        "engine_load_avg_10s": over["load_mean"],
+        "power_factor": rpm * used,
+        "rpm_range_10s": over["rpm_max"] - over["rpm_min"],
+        "load_max_10s": over["load_max"],
+    }
+    return made.select(*df.columns, *[column.alias(name) for name, column in features.items()])
+
+
+def rolling_features_by_step(df: DataFrame, lane: Lane = SHORT, back: int = WEAR_LAG_ROWS) -> DataFrame:
+    """The rolling statistics with frames by step distance instead of by rows.
+
+    Steps are distinct, so such a frame has at most ``back + 1`` rows.
+    """
+    rpm = F.col("engine_rpm")
 
     def columns(w: WindowSpec) -> dict[str, Column]:
-        frame = w.rangeBetween(-back, 0) if step_range else w.rowsBetween(-back, 0)
-        counted = {"__rows": F.count(F.lit(1)).over(frame)} if min_rows > 1 else {}
-        return {**_rolling(frame, used), **counted}
+        frame = w.rangeBetween(-back, 0)
+        return {
+            "rpm_avg_10s": F.avg(rpm).over(frame),
+            "rpm_std_10s": F.stddev(rpm).over(frame),
+            "throttle_avg_10s": F.avg("throttle").over(frame),
+            "engine_load_avg_10s": F.avg("load").over(frame),
+            "power_factor": rpm * F.col("load"),
+            "rpm_range_10s": F.max(rpm).over(frame) - F.min(rpm).over(frame),
+            "load_max_10s": F.max("load").over(frame),
+        }
 
-    made = lane.framed(df, columns, before=back)
-    return made.where(F.col("__rows") >= min_rows).drop("__rows") if min_rows > 1 else made
+    return lane.framed(df, columns, before=back)
 
 
 def gold_features(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
@@ -95,9 +107,7 @@ def every_nth(df: DataFrame, n: int) -> DataFrame:
 
 
 def warmup_progress(df: DataFrame, lane: Lane = SHORT, rows: int = SERVING_ROWS) -> DataFrame:
-    """Fill level of the serving buffer in percent."""
-    back = rows - 1
-    filled = lane.framed(
-        df, lambda w: {"buffered": F.count(F.lit(1)).over(w.rowsBetween(-back, 0))}, before=back
-    )
+    """Fill level of the serving buffer, in rows and in percent."""
+    counted = lane.running(df, {"buffered": row_count()})
+    filled = counted.withColumn("buffered", F.least(F.col("buffered"), F.lit(rows).cast("long")))
     return filled.withColumn("progress_pct", F.col("buffered") / rows * 100)
