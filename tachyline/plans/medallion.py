@@ -62,7 +62,7 @@ def gold_table(silver: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def run_gold(spark: SparkSession, layout: Layout, exact: bool = False) -> None:
-    silver = tables.read_table(spark, layout.at("silver"))
+    silver = tables.read_silver(spark, layout.at("silver"))
     tables.write_gold(gold_table(silver, exact), layout.at("gold"))
 
 

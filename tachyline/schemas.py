@@ -113,6 +113,12 @@ EXTENDED_PATHS = {
 }
 SILVER_COLUMNS = list(SILVER_PATHS)
 
+_SILVER_TYPES = {"simulation_id": _STRING, "step": _INT, "current_gear": _INT}
+SILVER_SCHEMA = _struct(
+    **{name: _SILVER_TYPES.get(name, _DOUBLE) for name in SILVER_COLUMNS},
+    processed_at=T.TimestampType(),
+)
+
 METRICS_SCHEMA = _struct(
     total_rows=T.LongType(),
     null_violations=T.LongType(),
