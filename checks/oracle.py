@@ -169,6 +169,13 @@ SELECT simulation_id, count(*) AS session_ticks,
        {rounded("avg(fuel_rate_lph)", 3)} AS avg_fuel_lph,
        max_by(engine_wear, step) AS total_wear
 FROM telemetry GROUP BY simulation_id"""
+_METRICS = """
+SELECT count(*) AS total_rows,
+       CAST(sum(CAST(is_null_violation AS INTEGER)) AS BIGINT) AS null_violations,
+       CAST(sum(CAST(is_range_violation AS INTEGER)) AS BIGINT) AS range_violations,
+       CAST(sum(CAST(NOT is_valid AS INTEGER)) AS BIGINT) AS invalid_rows,
+       'silver_telemetry' AS dataset
+FROM checked"""
 _HISTORY = """
 SELECT simulation_id, step, simulation_time AS t, coalesce(engine_rpm, 0) AS rpm, coalesce(current_gear, 0) AS gear,
        coalesce(speed_kmh, 0) AS speed_kmh
@@ -199,13 +206,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_FLAT}, {_FLAGS} FROM checked WHERE is_valid IS DISTINCT FROM TRUE", "checked"
         ),
         "dq_metrics": with_tables(
-            """
-SELECT count(*) AS total_rows,
-       CAST(sum(CAST(is_null_violation AS INTEGER)) AS BIGINT) AS null_violations,
-       CAST(sum(CAST(is_range_violation AS INTEGER)) AS BIGINT) AS range_violations,
-       CAST(sum(CAST(NOT is_valid AS INTEGER)) AS BIGINT) AS invalid_rows,
-       'silver_telemetry' AS dataset
-FROM checked""",
+            _METRICS,
             "checked",
         ),
         "dq_undetermined": with_tables("SELECT count(*) - count(is_valid) AS undetermined_rows FROM checked", "checked"),
@@ -392,6 +393,23 @@ SELECT simulation_id, step, coalesce(engine_rpm, 0) AS engine_rpm, coalesce(spee
 FROM telemetry""",
             "telemetry",
         ),
+        "membership_filter": with_tables(
+            """
+SELECT simulation_id, step FROM silver
+WHERE simulation_id IN (SELECT simulation_id FROM silver WHERE engine_rpm >= 6400)""",
+            "silver",
+        ),
+        "table_silver": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
+        "table_quarantine": with_tables(f"SELECT {_FLAT}, {_FLAGS} FROM checked WHERE NOT is_valid", "checked"),
+        "table_metrics": with_tables(_METRICS, "checked"),
+        "table_gold": with_tables("SELECT * FROM gold", "gold"),
+        "table_split": with_tables(
+            """
+SELECT 'full' AS part, simulation_id, count(*) AS part_rows FROM gold GROUP BY simulation_id
+UNION ALL
+SELECT split AS part, simulation_id, count(*) FROM gold JOIN sides USING (simulation_id) GROUP BY split, simulation_id""",
+            "sides",
+        ),
         "stream_bronze_append": with_tables(
             'SELECT kafka_ts, CAST(partition AS BIGINT) AS partition, "offset", raw_event FROM kafka', "kafka"
         ),

@@ -9,6 +9,7 @@ from tachyline.functions import driving, events, wear
 from tachyline.functions.numbers import steady_round
 from tachyline.operators import evaluation, features, forest, labels, quality, sessions, split
 from tachyline.operators.lanes import Lanes
+from tachyline.plans import medallion
 from tachyline.schemas import (
     AGGRESSIVE,
     COMMAND_EVENT_SCHEMA,
@@ -23,10 +24,10 @@ from tachyline.schemas import (
 from tachyline.session import fresh_path, settings, stage
 from tachyline.sources import streams
 from tachyline.sources.recorded import telemetry
-from tachyline.sources.tables import read_bronze
+from tachyline.sources.tables import read_bronze, read_silver, read_table
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
-from tachyline.streaming.windows import use_rocksdb
+from tachyline.streaming.windows import ROCKSDB
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,7 +200,7 @@ def label_threshold_exact(spark, directory):
 def label_threshold_approx(spark, directory):
     """Whether the rank of the approximate threshold is off by no more than its stated error."""
     rated = rates(spark, directory).union().select("future_wear_rate")
-    compared = rated.crossJoin(F.broadcast(labels.approximate_threshold(rated)))
+    compared = rated.withColumn("threshold", labels.approximate_threshold(rated).scalar())
     rate, found = F.col("future_wear_rate"), F.col("threshold")
     counted = compared.agg(
         F.count(F.lit(1)).alias("rated_rows"),
@@ -532,6 +533,74 @@ def streamed(spark: SparkSession, name: str, run: Callable[[str, str], None]) ->
     return path
 
 
+@query
+def membership_filter(spark, directory):
+    """Rows of the simulations that reach the red zone."""
+    rows = silver(spark, directory).union()
+    red = rows.where(driving.rpm_zone(F.col("engine_rpm")) == "red")
+    return split.of_simulations(rows, split.distinct_simulations(red)).select("simulation_id", "step")
+
+
+def lakehouse(spark: SparkSession, directory: str, *jobs: Callable[[SparkSession, medallion.Layout], None]) -> medallion.Layout:
+    """A fresh lakehouse with the recorded events as Bronze, after running ``jobs``."""
+    layout = medallion.Layout(fresh_path(spark, "lakehouse"))
+    bronze = raw_events(spark, directory).select(
+        F.current_timestamp().alias("kafka_ts"),
+        F.lit(0).cast("long").alias("partition"),
+        F.lit(0).cast("long").alias("offset"),
+        "raw_event",
+    )
+    bronze.write.json(layout.at("bronze"))
+    for job in jobs:
+        job(spark, layout)
+    return layout
+
+
+def _hashed_silver(spark: SparkSession, layout: medallion.Layout) -> None:
+    medallion.run_silver(spark, layout, silver_layout="hashed")
+
+
+def _exact_gold(spark: SparkSession, layout: medallion.Layout) -> None:
+    medallion.run_gold(spark, layout, exact=True)
+
+
+@query
+def table_silver(spark, directory):
+    """The Silver table after two runs of its job."""
+    layout = lakehouse(spark, directory, _hashed_silver, _hashed_silver)
+    return read_silver(spark, layout.at("silver")).drop("processed_at")
+
+
+@query
+def table_quarantine(spark, directory):
+    layout = lakehouse(spark, directory, _hashed_silver)
+    return read_table(spark, layout.at("quarantine")).drop("processed_at")
+
+
+@query
+def table_metrics(spark, directory):
+    layout = lakehouse(spark, directory, _hashed_silver)
+    return read_table(spark, layout.at("metrics")).drop("check_time")
+
+
+@query
+def table_gold(spark, directory):
+    layout = lakehouse(spark, directory, _hashed_silver, _exact_gold)
+    return rounded(read_table(spark, layout.at("gold")), FEATURE_PLACES)
+
+
+@query
+def table_split(spark, directory):
+    """Rows of the dataset, train and test tables per simulation."""
+    layout = lakehouse(spark, directory, _hashed_silver, _exact_gold, medallion.run_dataset, medallion.run_split)
+    parts = [
+        spark.read.parquet(layout.at(f"dataset/{part}")).select(F.lit(part).alias("part"), "simulation_id")
+        for part in ("full", "train", "test")
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("part", "simulation_id").agg(F.count(F.lit(1)).alias("part_rows"))
+
+
 @query
 def stream_bronze_append(spark, directory):
     rows = as_stream(kafka_rows(spark, directory), "messages")
@@ -592,8 +661,7 @@ def stream_serving_features(spark, directory):
     def run(path: str, log: str) -> None:
         streams.append_parquet(serving.serving_features(stream), path, log, True).awaitTermination()
 
-    with settings(spark, spark__sql__shuffle__partitions="8"):
-        use_rocksdb(spark)
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "serving", run)
     return rounded(spark.read.parquet(path), SERVING_PLACES)
 
@@ -607,7 +675,6 @@ def stream_score_ema(spark, directory):
     def run(path: str, log: str) -> None:
         streams.append_parquet(serving.smoothed_scores(stream), path, log, True).awaitTermination()
 
-    with settings(spark, spark__sql__shuffle__partitions="8"):
-        use_rocksdb(spark)
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "smoothed", run)
     return rounded(spark.read.parquet(path), {"display_score": 6}).select("simulation_id", "step", "display_score")

@@ -34,8 +34,6 @@ def style_label(rate: Column, threshold: Column) -> Column:
 
 
 def add_label(df: DataFrame, threshold: DataFrame, places: int | None = None) -> DataFrame:
-    """Compare every rate with the one-row ``threshold``."""
+    """Compare every rate with the one-row ``threshold``, a scalar subquery of the plan."""
     rate = F.col(RATE) if places is None else steady_round(F.col(RATE), places)
-    one_row = F.broadcast(threshold.select("threshold").limit(1))
-    labelled = df.crossJoin(one_row).withColumn(TARGET_COLUMN, style_label(rate, F.col("threshold")))
-    return labelled.drop("threshold")
+    return df.withColumn(TARGET_COLUMN, style_label(rate, threshold.select("threshold").scalar()))

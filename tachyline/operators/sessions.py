@@ -70,7 +70,8 @@ def smoothed(
         reach = [F.coalesce(F.lag("__total", chunk * i).over(w), F.lit(0.0)) * faded ** (i - 1) for i in (1, 2, 3)]
         return {"__earlier": reach[0] + reach[1] + reach[2]}
 
-    carried = lane.framed(summed, earlier, before=3 * chunk, index="__n")
+    # Chunk and number order the rows like the step, in the sort order of the sums.
+    carried = lane.framed(summed, earlier, before=3 * chunk, order=("__chunk", "__n"), index="__n")
     result = (
         F.coalesce("__mine", F.lit(0.0)) * F.pow(F.lit(keep), F.col("__place"))
         + F.col("__earlier") * F.pow(F.lit(keep), F.col("__place") + 1)
@@ -99,8 +100,13 @@ def history(df: DataFrame, rows: int = SERVING_ROWS) -> DataFrame:
 
 
 def latest_state(df: DataFrame) -> DataFrame:
-    newest = F.max_by(F.struct(*df.columns), "step").alias("newest")
-    return df.groupBy("simulation_id").agg(newest).select("newest.*")
+    """The row with the highest step of each session.
+
+    One ``max_by`` per column instead of one over a struct: numbers fit the buffer of
+    a hash aggregate, a struct would make Spark sort its input.
+    """
+    newest = [F.max_by(name, "step").alias(name) for name in df.columns if name != "simulation_id"]
+    return df.groupBy("simulation_id").agg(*newest).select(*df.columns)
 
 
 def throttle_rate(df: DataFrame, lane: Lane = SHORT) -> DataFrame:

@@ -80,5 +80,6 @@ def sliding(
             for part in _PARTS
         }
 
-    made = lane.framed(both, from_frame_start, before=rows - 1, index=INDEX)
+    # Chunk and index order the rows like the step, in the sort order of the window above.
+    made = lane.framed(both, from_frame_start, before=rows - 1, order=(_CHUNK, INDEX), index=INDEX)
     return made, {name: column for value in values for name, column in _joined(value).items()}

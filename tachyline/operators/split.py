@@ -25,6 +25,11 @@ def distinct_simulations(df: DataFrame) -> DataFrame:
     return df.select("simulation_id").distinct().where(F.col("simulation_id").isNotNull())
 
 
+def of_simulations(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose simulation is listed in ``ids``; Spark broadcasts the list only if it is small."""
+    return df.join(ids.select("simulation_id"), "simulation_id", "left_semi")
+
+
 def last_train_id(df: DataFrame, ratio: float = TRAIN_RATIO, at_once: int = RANKED_AT_ONCE) -> str | None:
     """The id up to which simulations train, or None with fewer than two simulations."""
     ids = stage(distinct_simulations(df), "simulation-ids")

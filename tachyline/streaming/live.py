@@ -21,8 +21,8 @@ def current_rows(spark: SparkSession, path: str, key: str = "simulation_id") ->
     """The newest version of every row of an update table."""
     changes = spark.read.parquet(path)
     kept = [name for name in changes.columns if name != "batch_id"]
-    newest = F.max_by(F.struct(*kept), "batch_id").alias("newest")
-    return changes.groupBy(F.col(key).alias("__key")).agg(newest).select("newest.*")
+    newest = [F.max_by(name, "batch_id").alias(name) for name in kept if name != key]
+    return changes.groupBy(key).agg(*newest).select(*kept)
 
 
 def session_counters(samples: DataFrame) -> DataFrame:

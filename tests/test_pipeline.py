@@ -17,7 +17,7 @@ from tachyline.sources import streams, tables
 from tachyline.sources.recorded import telemetry
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
-from tachyline.streaming.windows import use_rocksdb
+from tachyline.streaming.windows import ROCKSDB
 
 
 @pytest.fixture(scope="module")
@@ -168,8 +168,7 @@ def shuffled_stream(spark, df, path, files=6, per_batch=2):
 
 
 def run_stateful(spark, stream, path, log):
-    with settings(spark, spark__sql__shuffle__partitions="4"):
-        use_rocksdb(spark)
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="4"):
         streams.append_parquet(stream, path, log, bounded=True).awaitTermination()
     return spark.read.parquet(path)
 
