@@ -92,7 +92,7 @@ def rolling_features_by_step(df: DataFrame, lane: Lane = SHORT, back: int = WEAR
 
 def gold_features(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     """Wear rates, the filter on them, then the rolling features: the order is part of the result."""
-    return rolling_features(labelled_rows(wear_rates(df, lane)), lane)
+    return rolling_features(lane.settle(labelled_rows(wear_rates(df, lane))), lane)
 
 
 def serving_features(df: DataFrame, lane: Lane = SHORT, load: Column | None = None, rows: int = SERVING_ROWS) -> DataFrame:

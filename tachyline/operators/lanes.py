@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from tachyline.session import stage
+
 KEY = "simulation_id"
 ORDER = ("step",)
 
-LONG_KEY_ROWS = 1 << 22
-BLOCK_ROWS = 1 << 20
+LONG_KEY_ROWS = 1 << 21
+BLOCK_ROWS = 1 << 19
 MAX_LISTED_KEYS = 10_000
 
 Stage = Callable[[WindowSpec], dict[str, Column]]
@@ -108,7 +110,10 @@ class ShortLane:
         index: str | None = None,
     ) -> DataFrame:
         window = Window.partitionBy(KEY).orderBy(*order)
-        return reduce(lambda made, stage: made.withColumns(stage(window)), stages, df)
+        return reduce(lambda made, columns: made.withColumns(columns(window)), stages, df)
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        return df
 
 
 @dataclass(frozen=True)
@@ -177,9 +182,17 @@ class LongLane:
         )
         spread = numbered.withColumn(_OWN, own).withColumn(_BLOCK, F.explode(targets))
         window = Window.partitionBy(KEY, _BLOCK).orderBy(*order)
-        made = reduce(lambda part, stage: part.withColumns(stage(window)), stages, spread)
+        made = reduce(lambda part, columns: part.withColumns(columns(window)), stages, spread)
         return made.where(F.col(_BLOCK) == F.col(_OWN)).drop(_BLOCK, _OWN, _SEQ)
 
+    def settle(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as a table before it feeds another window.
+
+        Block totals and rows are two passes over the input, so without this each
+        further window would double the work on everything before it.
+        """
+        return stage(df, "long-lane")
+
 
 SHORT = ShortLane()
 

@@ -152,7 +152,7 @@ def gear_changes(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
             "is_shift": F.coalesce(F.col("current_gear") != before, F.lit(False)),
         }
 
-    marked = lane.framed(df, shifted, before=1)
+    marked = lane.settle(lane.framed(df, shifted, before=1))
     return lane.running(marked, {"shift_count": running_sum(F.col("is_shift").cast("long"))})
 
 

@@ -56,11 +56,11 @@ def telemetry(spark: SparkSession, directory: str, extended: bool = False) -> La
             block_rows=min(ORDERS_PER_BLOCK, getattr(lane, "block_rows", ORDERS_PER_BLOCK)),
         )
         step = (F.col("seq") - 1).cast("int")
-        return (
+        shaped = (
             counted.withColumn("step", step)
             .withColumn("simulation_time", F.col("step") * F.lit(0.1))
             .withColumns(_signals())
-            .select(*columns)
         )
+        return lane.settle(shaped.select(*columns))
 
     return Lanes.of(lines, key="l_suppkey").map(steps)
