@@ -42,6 +42,8 @@ FEATURE_PLACES = {
 }
 SERVING_PLACES = {**FEATURE_PLACES, "load_max_10s": 6}
 CHECK_TREES = 20
+# The files of the test streams hold rows in no order: wait for a row as long as its block lasts.
+ANY_ORDER = 1 << 14
 
 
 def query(function: Query) -> Query:
@@ -659,7 +661,7 @@ def stream_serving_features(spark, directory):
     stream = as_stream(serving.live_samples(telemetry(spark, directory).union()), "live-samples")
 
     def run(path: str, log: str) -> None:
-        streams.append_parquet(serving.serving_features(stream), path, log, True).awaitTermination()
+        streams.append_parquet(serving.serving_features(stream, patience=ANY_ORDER), path, log, True).awaitTermination()
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "serving", run)
@@ -673,7 +675,7 @@ def stream_score_ema(spark, directory):
     stream = as_stream(scored, "scores")
 
     def run(path: str, log: str) -> None:
-        streams.append_parquet(serving.smoothed_scores(stream), path, log, True).awaitTermination()
+        streams.append_parquet(serving.smoothed_scores(stream, patience=ANY_ORDER), path, log, True).awaitTermination()
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "smoothed", run)

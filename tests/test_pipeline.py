@@ -188,7 +188,7 @@ def test_served_features_equal_batch_features(spark, tmp_path, block):
     copied = samples.unionByName(samples.where("step % 7 = 0"))
     stream = shuffled_stream(spark, copied, str(tmp_path / "samples"))
     made = run_stateful(
-        spark, serving.serving_features(stream, block_steps=block), str(tmp_path / "out"), str(tmp_path / "log")
+        spark, serving.serving_features(stream, block_steps=block, patience=block), str(tmp_path / "out"), str(tmp_path / "log")
     )
     same_rows(made, serving_features(batch), ["simulation_id", "step"])
 
@@ -203,7 +203,7 @@ def test_served_smoothing_equals_batch_smoothing(spark, tmp_path, block):
     batch = batch.unionByName(longer)
     stream = shuffled_stream(spark, batch, str(tmp_path / "scores"))
     made = run_stateful(
-        spark, serving.smoothed_scores(stream, block_steps=block), str(tmp_path / "out"), str(tmp_path / "log")
+        spark, serving.smoothed_scores(stream, block_steps=block, patience=4000), str(tmp_path / "out"), str(tmp_path / "log")
     )
     same_rows(made, sessions.smoothed(batch, F.col("score"), "display_score"), ["simulation_id", "step"])
 
@@ -228,3 +228,23 @@ def test_streamed_latest_state(spark, tmp_path):
         live_streams.update_table(live_streams.latest_states(stream), path, str(tmp_path / "log"), True).awaitTermination()
     made = live_streams.current_rows(spark, path)
     same_rows(made, sessions.latest_state(df), ["simulation_id"])
+
+
+@pytest.mark.parametrize("lost", [[], [50, 333, 334, *range(700, 720), 899, 1399, 1400]])
+def test_lost_events_do_not_hold_up_the_rest(spark, tmp_path, lost):
+    """In step order, with events that never come; windows then hold 300 rows all the same."""
+    from tachyline.operators.features import serving_features
+
+    steps = spark.range(2000).select(F.lit("a").alias("simulation_id"), F.col("id").cast("int").alias("step"))
+    signal = F.sin("step") * 500 + 2000
+    sample = steps.where(~F.col("step").isin(lost)).select(
+        "simulation_id", "step", signal.alias("engine_rpm"), (F.col("step") % 9 / 10).alias("throttle"),
+        (F.col("step") % 7 / 10).alias("load"), F.lit(1.0).alias("speed_kmh"), F.lit(2).alias("current_gear"),
+    )
+    path = str(tmp_path / "samples")
+    for start in range(0, 2000, 400):
+        sample.where(F.col("step").between(start, start + 399)).coalesce(1).write.mode("append").parquet(path)
+    stream = streams.file_stream(spark, path, sample.schema, max_files=1)
+    features = serving.serving_features(stream, block_steps=450, patience=64)
+    made = run_stateful(spark, features, str(tmp_path / "out"), str(tmp_path / "log"))
+    same_rows(made, serving_features(sample), ["simulation_id", "step"])
