@@ -36,8 +36,6 @@ LONG_KEY_ROWS = 1 << 21
 BLOCK_ROWS = 1 << 19
 MAX_LISTED_KEYS = 10_000
 
-Stage = Callable[[WindowSpec], dict[str, Column]]
-
 _BLOCK, _SEQ, _OWN = "__block", "__seq", "__own"
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE_HERE = (Window.unboundedPreceding, -1)
@@ -75,6 +73,29 @@ class Running:
         return F.when(carry.isNull(), inside).when(inside.isNull(), carry).otherwise(carry + inside)
 
 
+Columns = Callable[[WindowSpec], dict[str, Column]]
+
+
+@dataclass(frozen=True)
+class Within:
+    """Columns over parts of a simulation: ``columns`` gets the partitioning by ``part``, to be ordered."""
+
+    part: str
+    columns: Columns
+
+
+Stage = Columns | Within
+
+
+def _add_stages(df: DataFrame, stages: Sequence[Stage], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    for added in stages:
+        if isinstance(added, Within):
+            df = df.withColumns(added.columns(Window.partitionBy(*keys, added.part)))
+        else:
+            df = df.withColumns(added(Window.partitionBy(*keys).orderBy(*order)))
+    return df
+
+
 def row_count() -> Running:
     return Running("count")
 
@@ -108,9 +129,9 @@ class ShortLane:
         after: int = 0,
         order: Sequence[str] = ORDER,
         index: str | None = None,
+        part_rows: int = 1,
     ) -> DataFrame:
-        window = Window.partitionBy(KEY).orderBy(*order)
-        return reduce(lambda made, columns: made.withColumns(columns(window)), stages, df)
+        return _add_stages(df, stages, [KEY], order)
 
     def settle(self, df: DataFrame) -> DataFrame:
         return df
@@ -132,7 +153,7 @@ class LongLane:
         """Blocks are ranges of the leading order column, ``block_rows`` units wide."""
         width = block_rows or self.block_rows
         blocked = df.withColumn(_BLOCK, F.floor(F.col(order[0]) / width))
-        position = F.struct(*order)
+        position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         totals = blocked.groupBy(KEY, _BLOCK).agg(
             *[spec.block_total(position).alias(f"__total_{name}") for name, spec in specs.items()]
         )
@@ -163,12 +184,14 @@ class LongLane:
         after: int = 0,
         order: Sequence[str] = ORDER,
         index: str | None = None,
+        part_rows: int = 1,
     ) -> DataFrame:
         """Columns that look up to ``before`` rows back and ``after`` ahead, over all stages.
 
         ``index`` names a row number within the simulation, from 1, if there is one.
+        Parts of ``part_rows`` rows, counted from the first, are never cut by a block.
         """
-        block_rows = max(self.block_rows, before, after)
+        block_rows = -(-max(self.block_rows, before, after) // part_rows) * part_rows
         numbered = df if index else self.running(df, {_SEQ: row_count()}, order)
         at = F.col(index or _SEQ) - 1
         place = F.pmod(at, F.lit(block_rows))
@@ -181,8 +204,7 @@ class LongLane:
             )
         )
         spread = numbered.withColumn(_OWN, own).withColumn(_BLOCK, F.explode(targets))
-        window = Window.partitionBy(KEY, _BLOCK).orderBy(*order)
-        made = reduce(lambda part, columns: part.withColumns(columns(window)), stages, spread)
+        made = _add_stages(spread, stages, [KEY, _BLOCK], order)
         return made.where(F.col(_BLOCK) == F.col(_OWN)).drop(_BLOCK, _OWN, _SEQ)
 
     def settle(self, df: DataFrame) -> DataFrame:

@@ -28,32 +28,32 @@ def exact_quantile(values: DataFrame, quantile: float, at_once: int = RANKED_AT_
     """Smallest value whose share of rows at or below it reaches ``quantile``.
 
     ``values`` has one double column; NULLs do not count. Approximate quantiles
-    around the wanted rank bracket it, with an error known to be below the margin.
+    bracket the wanted rank with an error known to be below the margin. If the rank
+    falls on an end of the bracket, that is the answer, however often the value
+    occurs; otherwise only what lies strictly between is kept, a small share.
     """
     column = F.col(values.columns[0])
     held = stage(values.select(column.alias("v")).where(column.isNotNull()), "quantile")
-    total = held.count()
+    v, total, margin = F.col("v"), held.count(), _MARGIN
     if total == 0:
         return None
     rank = max(1, ceil(quantile * total))
-    margin = _MARGIN
-    while True:
-        counted = held.groupBy("v").count()
-        if total <= at_once or counted.count() <= at_once:
-            return _value_at(counted, rank)
+    while total > at_once:
         share = rank / total
         ends = F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin)))
         low, high = held.agg(F.percentile_approx("v", ends, F.lit(_ACCURACY))).first()[0]
-        below, inside = held.agg(
-            F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))
-        ).first()
-        if not below < rank <= below + inside:
+        counts = [v < low, v == low, (v > low) & (v < high), v > high]
+        below, at_low, between, above = held.agg(*[F.count_if(part) for part in counts]).first()
+        if not below < rank <= total - above:
             margin *= 2
-            continue
-        if low == high:
+        elif rank <= below + at_low:
             return low
-        held = held.where(F.col("v").between(low, high))
-        rank, total = rank - below, inside
+        elif rank > below + at_low + between:
+            return high
+        else:
+            held = held.where(counts[2])
+            rank, total = rank - below - at_low, between
+    return _value_at(held.groupBy("v").count(), rank)
 
 
 def ranked_text(ids: DataFrame, rank: int, at_once: int = RANKED_AT_ONCE) -> str:

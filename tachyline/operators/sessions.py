@@ -4,10 +4,11 @@ from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tachyline.functions import driving, wear
 from tachyline.operators.features import Lane
-from tachyline.operators.lanes import SHORT, last_known, row_count, running_sum
+from tachyline.operators.lanes import SHORT, Within, last_known, row_count, running_sum
 from tachyline.schemas import SERVING_ROWS
 
 # Smoothing weight, fan limits, shortest tick.
@@ -61,17 +62,28 @@ def smoothed(
         .withColumn("__chunk", F.floor((F.col("__n") - 1) / chunk))
         .withColumn("__x", value * weight / F.pow(F.lit(keep), F.col("__place")))
     )
-    in_chunk = Window.partitionBy("simulation_id", "__chunk").orderBy("__n")
-    summed = placed.withColumn("__mine", F.sum("__x").over(in_chunk)).withColumn(
-        "__total", F.sum("__x").over(in_chunk.rowsBetween(*_WHOLE)) * keep ** (chunk - 1)
-    )
 
-    def earlier(w) -> dict[str, Column]:
+    def sums(w: WindowSpec) -> dict[str, Column]:
+        ordered = w.orderBy("__n")
+        return {
+            "__mine": F.sum("__x").over(ordered),
+            "__total": F.sum("__x").over(ordered.rowsBetween(*_WHOLE)) * keep ** (chunk - 1),
+        }
+
+    def earlier(w: WindowSpec) -> dict[str, Column]:
         reach = [F.coalesce(F.lag("__total", chunk * i).over(w), F.lit(0.0)) * faded ** (i - 1) for i in (1, 2, 3)]
         return {"__earlier": reach[0] + reach[1] + reach[2]}
 
-    # Chunk and number order the rows like the step, in the sort order of the sums.
-    carried = lane.framed(summed, earlier, before=3 * chunk, order=("__chunk", "__n"), index="__n")
+    carried = lane.framed(
+        placed,
+        Within("__chunk", sums),
+        earlier,
+        before=3 * chunk,
+        # Orders the rows like the step, in the sort order of the sums.
+        order=("__chunk", "__n"),
+        index="__n",
+        part_rows=chunk,
+    )
     result = (
         F.coalesce("__mine", F.lit(0.0)) * F.pow(F.lit(keep), F.col("__place"))
         + F.col("__earlier") * F.pow(F.lit(keep), F.col("__place") + 1)
@@ -112,7 +124,7 @@ def latest_state(df: DataFrame) -> DataFrame:
 def throttle_rate(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     """Change of the throttle per second since the previous row; NULL on the first."""
 
-    def rate(w) -> dict[str, Column]:
+    def rate(w: WindowSpec) -> dict[str, Column]:
         moved = F.col("throttle") - F.lag("throttle").over(w)
         passed = F.col("simulation_time") - F.lag("simulation_time").over(w)
         return {"throttle_change_rate": moved / F.greatest(passed, F.lit(SHORTEST_TICK))}
@@ -145,7 +157,7 @@ def fan_state(df: DataFrame, lane: Lane = SHORT, on: float = FAN_ON_TEMP, off: f
 def gear_changes(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     """Adds the gear before, whether this row shifts, and the number of shifts so far."""
 
-    def shifted(w) -> dict[str, Column]:
+    def shifted(w: WindowSpec) -> dict[str, Column]:
         before = F.lag("current_gear").over(w)
         return {
             "previous_gear": before,

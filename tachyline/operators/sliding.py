@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tachyline.operators.lanes import KEY, SHORT, LongLane, ShortLane, row_count
+from tachyline.operators.lanes import SHORT, LongLane, ShortLane, Within, row_count
 
 INDEX = "__index"
 _CHUNK = "__frame_chunk"
@@ -68,9 +68,6 @@ def sliding(
     """
     numbered = lane.running(df, {INDEX: row_count()})
     chunked = numbered.withColumn(_CHUNK, F.floor((F.col(INDEX) - 1) / rows))
-    chunk = Window.partitionBy(KEY, _CHUNK)
-    backward = chunked.withColumns(_running(values, "suffix", chunk.orderBy(F.desc(INDEX))))
-    both = backward.withColumns(_running(values, "front", chunk.orderBy(INDEX)))
     within = F.pmod(F.col(INDEX), F.lit(rows)) != 0
 
     def from_frame_start(w: WindowSpec) -> dict[str, Column]:
@@ -80,6 +77,15 @@ def sliding(
             for part in _PARTS
         }
 
-    # Chunk and index order the rows like the step, in the sort order of the window above.
-    made = lane.framed(both, from_frame_start, before=rows - 1, order=(_CHUNK, INDEX), index=INDEX)
+    made = lane.framed(
+        chunked,
+        Within(_CHUNK, lambda w: _running(values, "suffix", w.orderBy(F.desc(INDEX)))),
+        Within(_CHUNK, lambda w: _running(values, "front", w.orderBy(INDEX))),
+        from_frame_start,
+        before=rows - 1,
+        # Orders the rows like the step, in the sort order of the window before.
+        order=(_CHUNK, INDEX),
+        index=INDEX,
+        part_rows=rows,
+    )
     return made, {name: column for value in values for name, column in _joined(value).items()}
