@@ -204,7 +204,9 @@ class LongLane:
             )
         )
         spread = numbered.withColumn(_OWN, own).withColumn(_BLOCK, F.explode(targets))
-        made = _add_stages(spread, stages, [KEY, _BLOCK], order)
+        # Stated here, because a stage within parts would otherwise ask for a finer exchange first.
+        placed = spread.repartition(KEY, _BLOCK)
+        made = _add_stages(placed, stages, [KEY, _BLOCK], order)
         return made.where(F.col(_BLOCK) == F.col(_OWN)).drop(_BLOCK, _OWN, _SEQ)
 
     def settle(self, df: DataFrame) -> DataFrame:
