@@ -258,6 +258,7 @@ FROM gold JOIN sides USING (simulation_id) GROUP BY split""",
             "sides",
         ),
         "distinct_simulations": with_tables("SELECT DISTINCT simulation_id FROM gold", "gold"),
+        "last_train_id": with_tables("SELECT max(simulation_id) AS simulation_id FROM sides WHERE split = 'train'", "sides"),
         "class_weights": with_tables(
             f"""
 SELECT driving_style, count(*) AS class_rows,
@@ -309,6 +310,21 @@ GROUP BY a.simulation_id, a.step""",
             "telemetry",
         ),
         "coaching_tier": with_tables(_COACHING, "smoothed"),
+        "prediction_log": with_tables(
+            """
+SELECT simulation_id, step,
+       printf('[AI] %s | AGG: %.1f%% | RISK: %.1fx', CASE WHEN score / 100 > 0.5 THEN 'AGGRESSIVE' ELSE 'NORMAL' END,
+              score, 1 + (score / 25) * (score / 25)) AS log_line
+FROM scored WHERE step % 30 = 0""",
+            "scored",
+        ),
+        "warmup_text": with_tables(
+            """
+SELECT simulation_id, step,
+       printf('AI is warming up...' || chr(10) || 'Progress: %.0f%%', CAST(buffered AS DOUBLE) / 300 * 100) AS shown
+FROM buffered WHERE buffered < 300 AND step % 10 = 0""",
+            "buffered",
+        ),
         "prediction_decision": with_tables(
             f"""
 SELECT simulation_id, step,
@@ -423,4 +439,7 @@ FROM checked WHERE is_valid IS NOT NULL GROUP BY 1, 2""",
         "stream_history": with_tables(_HISTORY, "telemetry"),
         "stream_serving_features": with_tables(f"SELECT {_SERVED} FROM serving", "serving"),
         "stream_score_ema": with_tables(_SMOOTHED, "smoothed"),
+        "stream_live_coaching": with_tables(
+            "SELECT simulation_id, step, TRUE AS score_in_range, TRUE AS display_fits, TRUE AS tier_fits FROM scored", "scored"
+        ),
     }

@@ -268,6 +268,12 @@ def distinct_simulations(spark, directory):
     return split.distinct_simulations(rates(spark, directory).union())
 
 
+@query
+def last_train_id(spark, directory):
+    rows = rates(spark, directory).union()
+    return spark.range(1).select(F.lit(split.last_train_id(rows)).alias("simulation_id"))
+
+
 @query
 def class_weights(spark, directory):
     train, _ = _split(spark, directory)
@@ -375,6 +381,22 @@ def coaching_tier(spark, directory):
     )
 
 
+@query
+def prediction_log(spark, directory):
+    """The log line of every third prediction, labelled by its score."""
+    made = features.every_nth(predictions(spark, directory).union(), 30)
+    decided = driving.decision(F.col("score") / 100)
+    return made.select("simulation_id", "step", driving.prediction_log(decided["label"], F.col("score")).alias("log_line"))
+
+
+@query
+def warmup_text(spark, directory):
+    """What is shown every tenth step until the buffer is full."""
+    made = live(spark, directory).map(features.warmup_progress).union()
+    filling = features.every_nth(made.where(F.col("buffered") < 300), 10)
+    return filling.select("simulation_id", "step", driving.warmup_text(F.col("progress_pct")).alias("shown"))
+
+
 @query
 def prediction_decision(spark, directory):
     made = silver(spark, directory).union().select("simulation_id", "step", "throttle")
@@ -680,3 +702,30 @@ def stream_score_ema(spark, directory):
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "smoothed", run)
     return rounded(spark.read.parquet(path), {"display_score": 6}).select("simulation_id", "step", "display_score")
+
+
+@query
+def stream_live_coaching(spark, directory):
+    """JSON events to predictions to coaching output, by two streams with a table between them."""
+    train, _ = _split(spark, directory)
+    model = forest.fit_forest(stage(train, "train"), trees=5)
+    messages = as_stream(raw_events(spark, directory).withColumnRenamed("raw_event", "value"), "live-messages")
+
+    def scoring(path: str, log: str) -> None:
+        serving.start_scoring(messages, model, path, log, True, patience=ANY_ORDER).awaitTermination()
+
+    def coaching(path: str, log: str) -> None:
+        predicted = streams.file_stream(spark, scored, spark.read.parquet(scored).schema)
+        serving.start_coaching(predicted, path, log, True, patience=ANY_ORDER).awaitTermination()
+
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
+        scored = streamed(spark, "scored", scoring)
+        coached = streamed(spark, "coached", coaching)
+    score, shown = F.col("score"), F.col("display_score")
+    return spark.read.parquet(coached).select(
+        "simulation_id",
+        "step",
+        score.between(0, 100).alias("score_in_range"),
+        (shown.between(0, 100) & (shown >= score * 0.3 - 1e-9)).alias("display_fits"),
+        ((F.col("status_name") == "DANGER") == (score > 70)).alias("tier_fits"),
+    )
