@@ -76,9 +76,7 @@ def rates(spark: SparkSession, directory: str) -> Lanes:
 
 
 def labelled(spark: SparkSession, directory: str) -> DataFrame:
-    threshold = labels.exact_threshold(rates(spark, directory).union())
-    made = labels.add_label(featured(spark, directory), threshold, labels.STEADY_PLACES)
-    return split.available_columns(made)
+    return medallion.gold_table(silver(spark, directory), exact=True)
 
 
 def live(spark: SparkSession, directory: str) -> Lanes:
@@ -221,8 +219,7 @@ def gold_features(spark, directory):
 
 @query
 def gold_features_approx(spark, directory):
-    threshold = labels.approximate_threshold(rates(spark, directory).union())
-    made = split.available_columns(labels.add_label(featured(spark, directory), threshold))
+    made = medallion.gold_table(silver(spark, directory))
     labelled_rows = made.withColumn("is_labelled", F.col("driving_style").isin(AGGRESSIVE, NORMAL))
     return rounded(labelled_rows, FEATURE_PLACES).drop("driving_style")
 

@@ -221,8 +221,8 @@ class LongLane:
 SHORT = ShortLane()
 
 
-def long_keys(df: DataFrame, key: str, limit: int, at_most: int = MAX_LISTED_KEYS) -> tuple[DataFrame, bool]:
-    """Keys with more than ``limit`` rows, and whether there are any.
+def long_keys(df: DataFrame, key: str, limit: int, at_most: int = MAX_LISTED_KEYS) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or None if there are none.
 
     There can be no more than ``rows / limit`` of them. Up to ``at_most`` are
     brought over and joined as a broadcast list; more stay a plain frame that
@@ -230,10 +230,11 @@ def long_keys(df: DataFrame, key: str, limit: int, at_most: int = MAX_LISTED_KEY
     """
     heavy = df.groupBy(key).count().where(F.col("count") > limit).select(key)
     found = heavy.limit(at_most + 1).collect()
+    if not found:
+        return None
     if len(found) > at_most:
-        return heavy, True
-    listed = df.sparkSession.createDataFrame([tuple(row) for row in found], heavy.schema)
-    return F.broadcast(listed), bool(found)
+        return heavy
+    return F.broadcast(df.sparkSession.createDataFrame([tuple(row) for row in found], heavy.schema))
 
 
 class Lanes:
@@ -253,8 +254,8 @@ class Lanes:
         conf = df.sparkSession.conf
         limit = long_rows or int(conf.get("spark.tachyline.longKeyRows", str(LONG_KEY_ROWS)))
         block = block_rows or int(conf.get("spark.tachyline.blockRows", str(BLOCK_ROWS)))
-        keys, any_long = long_keys(df, key, limit)
-        if not any_long:
+        keys = long_keys(df, key, limit)
+        if keys is None:
             return cls([(df, SHORT)])
         return cls(
             [

@@ -48,22 +48,21 @@ def run_silver(
     tables.write_silver(valid, layout.at("silver"), mode, silver_layout)
 
 
-def gold_table(silver: DataFrame, exact: bool = False) -> DataFrame:
+def gold_table(silver: Lanes, exact: bool = False) -> DataFrame:
     """Features and label of every labelled row.
 
-    The threshold is computed from the three columns it needs and joined as one
-    row; the features follow in a second pass over the table.
+    The threshold is computed from the three columns it needs and compared as a
+    scalar; the features follow in a second pass over the table.
     """
-    lanes = Lanes.of(silver)
-    rates = lanes.map(features.wear_rates).transform(features.labelled_rows).union()
+    rates = silver.map(features.wear_rates).transform(features.labelled_rows).union()
     threshold = labels.exact_threshold(rates) if exact else labels.approximate_threshold(rates)
-    made = lanes.map(features.gold_features).union()
+    made = silver.map(features.gold_features).union()
     return split.available_columns(labels.add_label(made, threshold, labels.STEADY_PLACES if exact else None))
 
 
 def run_gold(spark: SparkSession, layout: Layout, exact: bool = False) -> None:
     silver = tables.read_silver(spark, layout.at("silver"))
-    tables.write_gold(gold_table(silver, exact), layout.at("gold"))
+    tables.write_gold(gold_table(Lanes.of(silver), exact), layout.at("gold"))
 
 
 def run_dataset(spark: SparkSession, layout: Layout) -> None:

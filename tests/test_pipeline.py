@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.queries import live, predictions
 from tachyline.functions import events
 from tachyline.operators import forest, quality, sessions
+from tachyline.operators.lanes import Lanes
 from tachyline.plans import medallion
 from tachyline.schemas import COMMAND_EVENT_SCHEMA, METRICS_SCHEMA, SILVER_PATHS, SILVER_SCHEMA, raw_event_schema
 from tachyline.session import scratch_dir, settings
@@ -97,7 +98,7 @@ def test_scratch_is_the_shared_folder(spark):
 
 
 def test_exact_and_approximate_gold_agree_on_features(spark, lake):
-    silver = tables.read_silver(spark, lake.at("silver"))
+    silver = Lanes.of(tables.read_silver(spark, lake.at("silver")))
     exact, approx = medallion.gold_table(silver, exact=True), medallion.gold_table(silver)
     assert exact.drop("driving_style").exceptAll(approx.drop("driving_style")).count() == 0
     assert exact.where("driving_style = 'AGGRESSIVE'").count() == 1283
