@@ -366,6 +366,18 @@ FROM (SELECT simulation_id, step, greatest(0, least(1, pedal)) AS p FROM telemet
         "wear_cumulative": with_tables(
             f"SELECT simulation_id, step, {rounded('wear_level', 9)} AS wear_level FROM worn", "worn"
         ),
+        "wear_carry_over": with_tables(
+            f"""
+SELECT simulation_id, step,
+       {rounded("least(1, least(1, coalesce(start_, 0)) + sum(impulse * 6) OVER (PARTITION BY simulation_id ORDER BY step))", 9)}
+         AS wear_level
+FROM stressed JOIN (
+    SELECT CAST(s_suppkey AS VARCHAR) AS simulation_id,
+           sum(own) OVER (PARTITION BY s_suppkey % 10 ORDER BY s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS start_
+    FROM supplier JOIN (SELECT simulation_id, sum(impulse * 6) AS own FROM stressed GROUP BY simulation_id) AS totals
+      ON totals.simulation_id = CAST(s_suppkey AS VARCHAR)) AS starts USING (simulation_id)""",
+            "stressed",
+        ),
         "health_outputs": with_tables(_HEALTH, "worn"),
         "fan_hysteresis": with_tables("SELECT * FROM fans", "fans"),
         "gear_shift_events": with_tables(

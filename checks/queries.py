@@ -443,6 +443,23 @@ def wear_cumulative(spark, directory):
     return rounded(made, {"wear_level": 9}).select("simulation_id", "step", "wear_level")
 
 
+@query
+def wear_carry_over(spark, directory):
+    """Ten vehicles drive one simulation after the other; wear goes on where the last one left it."""
+    lanes = telemetry(spark, directory)
+    number = F.col("s_suppkey")
+    listed = table(spark, directory, "supplier").select(
+        number.cast("string").alias("simulation_id"),
+        (number % 10).cast("string").alias("vehicle_id"),
+        number.alias("session_number"),
+    )
+    starts = sessions.starting_wear(lanes.union(), listed)
+    made = lanes.map(
+        lambda df, lane: sessions.cumulative_wear(df.join(starts, "simulation_id"), lane, initial=F.col("start_wear"))
+    ).union()
+    return rounded(made, {"wear_level": 9}).select("simulation_id", "step", "wear_level")
+
+
 @query
 def health_outputs(spark, directory):
     worn = telemetry(spark, directory).map(sessions.cumulative_wear).union()

@@ -8,7 +8,7 @@ from pyspark.sql.window import WindowSpec
 
 from tachyline.functions import driving, wear
 from tachyline.operators.features import Lane
-from tachyline.operators.lanes import SHORT, Within, last_known, row_count, running_sum
+from tachyline.operators.lanes import SHORT, Lanes, Within, last_known, row_count, running_sum
 from tachyline.schemas import SERVING_ROWS
 
 # Smoothing weight, fan limits, shortest tick.
@@ -132,6 +132,11 @@ def throttle_rate(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     return lane.framed(df, rate, before=1)
 
 
+def _stress(tick: float, profile: wear.WearProfile) -> Column:
+    impulse = wear.wear_impulse(F.col("oil_temp_c"), F.col("load"), F.col("engine_rpm"), profile)
+    return impulse * tick * profile.time_scale
+
+
 def cumulative_wear(
     df: DataFrame,
     lane: Lane = SHORT,
@@ -140,12 +145,36 @@ def cumulative_wear(
     profile: wear.WearProfile = wear.DEFAULT_PROFILE,
 ) -> DataFrame:
     """Wear from the stress of every row so far, on top of what earlier sessions left, at most 1."""
-    impulse = wear.wear_impulse(F.col("oil_temp_c"), F.col("load"), F.col("engine_rpm"), profile)
     start = F.lit(0.0) if initial is None else initial
-    summed = lane.running(df, {"__stress": running_sum(impulse * tick * profile.time_scale)})
+    summed = lane.running(df, {"__stress": running_sum(_stress(tick, profile))})
     return summed.withColumn("wear_level", F.least(F.lit(1.0), start + F.col("__stress"))).drop("__stress")
 
 
+def starting_wear(
+    df: DataFrame,
+    sessions: DataFrame,
+    tick: float = 0.1,
+    profile: wear.WearProfile = wear.DEFAULT_PROFILE,
+) -> DataFrame:
+    """The wear each simulation starts with: what the earlier sessions of its vehicle left.
+
+    ``sessions`` has one row per simulation: ``simulation_id, vehicle_id, session_number``.
+    """
+    stress = df.groupBy("simulation_id").agg(F.sum(_stress(tick, profile)).alias("own"))
+    # Sessions of a vehicle are ordered like the steps of a simulation, so lanes serve them too.
+    listed = sessions.select(
+        F.col("vehicle_id").alias("simulation_id"), "session_number", F.col("simulation_id").alias("session_id")
+    )
+
+    def left_before(part: DataFrame, lane: Lane) -> DataFrame:
+        stressed = part.join(stress.withColumnRenamed("simulation_id", "session_id"), "session_id")
+        return lane.running(stressed, {"so_far": running_sum(F.col("own"))}, order=("session_number",))
+
+    summed = Lanes.of(listed).map(left_before).union()
+    before = F.col("so_far") - F.col("own")
+    return summed.select(F.col("session_id").alias("simulation_id"), F.least(F.lit(1.0), before).alias("start_wear"))
+
+
 def fan_state(df: DataFrame, lane: Lane = SHORT, on: float = FAN_ON_TEMP, off: float = FAN_OFF_TEMP) -> DataFrame:
     """Hysteresis: on above one limit, off below the other, otherwise as before; off at first."""
     temp = F.col("coolant_temp_c")

@@ -168,3 +168,13 @@ def test_balanced_class_weights(spark):
 def test_steady_round_sends_noisy_ties_up(spark):
     for v in (0.0000005, 0.00000049999999999, 0.00000050000000001):
         assert value(spark, steady_round(F.lit(v), 6)) == 1e-6
+
+
+def test_wear_starts_where_the_last_session_ended(spark):
+    rows = [(name, n, 20.0, load, 1000.0) for name, load in (("b", 0.5), ("a", 1.0), ("c", 0.25)) for n in range(4)]
+    df = spark.createDataFrame(rows, "simulation_id string, step int, oil_temp_c double, load double, engine_rpm double")
+    order = [("b", "car", 1), ("a", "car", 2), ("c", "van", 1)]
+    listed = spark.createDataFrame(order, "simulation_id string, vehicle_id string, session_number int")
+    starts = {row[0]: row[1] for row in sessions.starting_wear(df, listed).collect()}
+    of_b = 4 * 6 * (((95 - 20) / 95) ** 2 * 0.5 * 0.001 + 0.5e-6 + 1e-8)
+    assert starts == {"b": pytest.approx(0.0), "a": pytest.approx(of_b), "c": pytest.approx(0.0)}
