@@ -18,7 +18,6 @@ from tachyline.schemas import (
     LABEL_QUANTILE,
     NORMAL,
     QUALITY_FLAGS,
-    SILVER_COLUMNS,
     SILVER_PATHS,
 )
 from tachyline.session import fresh_path, settings, stage
