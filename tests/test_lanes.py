@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tachyline.operators.lanes import SHORT, Lanes, LongLane, last_known, row_count, running_sum
+from tachyline.operators.lanes import KEY, SHORT, Lanes, LongLane, last_known, long_keys, row_count, running_sum
 from tachyline.operators.sliding import sliding
 
 
@@ -93,6 +93,15 @@ def test_lanes_divide_by_length(spark):
     assert len(Lanes.of(df, long_rows=10_000).parts) == 1
 
 
+def test_more_long_keys_than_are_listed_stay_a_frame(spark):
+    df = series(spark, 4)
+    for at_most in (1, 100):
+        keys = long_keys(df, KEY, 5, at_most)
+        assert sorted(row[0] for row in keys.collect()) == ["s1", "s2", "s3"]
+        assert df.join(keys, KEY, "left_semi").count() == 7 + 40 + 333
+    assert long_keys(df, KEY, 1000) is None
+
+
 def test_one_simulation_with_a_third_of_all_rows(spark):
     long = spark.range(30_000).select(F.lit("long").alias("simulation_id"), F.col("id").cast("int").alias("step"))
     short = spark.range(60_000).select(
