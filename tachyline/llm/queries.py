@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tachyline.llm import decontamination, packing, simhash, token_files
+from tachyline.llm import decontamination, language, packing, simhash, token_files
 from tachyline.llm.common import read
 from tachyline.session import fresh_path
 
@@ -20,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer(), end_id=2))
 
@@ -37,6 +41,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op4_language": op4_language,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
     "op10_decontamination": op10_decontamination,
