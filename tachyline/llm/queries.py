@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tachyline.llm import decontamination, language, packing, simhash, token_files
+from tachyline.llm import decontamination, language, packing, quality, simhash, token_files, toxicity
 from tachyline.llm.common import read
 from tachyline.session import fresh_path
 
@@ -24,6 +24,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer(), end_id=2))
 
@@ -34,6 +38,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return decontamination.digests(found)
@@ -42,8 +50,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op4_language": op4_language,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
