@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tachyline.llm import decontamination, language, packing, quality, secret_scan, simhash, token_files, toxicity
+from tachyline.llm import decontamination, language, merkle, packing, quality, secret_scan, simhash, token_files, toxicity
 from tachyline.llm.common import read
 from tachyline.session import fresh_path
 
@@ -20,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_edited(read(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(read(spark, sf_dir, "documents")))
 
@@ -53,6 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_merkle": op2_merkle,
     "op3_secret_scan": op3_secret_scan,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
