@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tachyline.llm import decontamination, language, merkle, packing, quality, secret_scan, simhash, token_files, toxicity
+from tachyline.llm import decontamination, language, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, urls
 from tachyline.llm.common import read
 from tachyline.session import fresh_path
 
@@ -46,6 +46,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+URL_RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -63,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
+    "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
