@@ -32,7 +32,6 @@ HEADLINE = [
     "slow_ema",
     "last_300_history",
     "latest_state",
-    "wear_cumulative",
     "fan_hysteresis",
     "gear_dwell",
     "rpm_zone_time",

@@ -7,6 +7,7 @@ def rounded(expression: str, places: int) -> str:
 
 _W = "PARTITION BY simulation_id ORDER BY step"
 _FRAME = f"({_W} ROWS BETWEEN 100 PRECEDING AND CURRENT ROW)"
+_BY_STEP = f"({_W} RANGE BETWEEN 100 PRECEDING AND CURRENT ROW)"
 _BUFFER = f"({_W} ROWS BETWEEN 299 PRECEDING AND CURRENT ROW)"
 _SO_FAR = f"({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
@@ -116,14 +117,6 @@ _TABLES = {
     SELECT a.simulation_id, a.step, a.score, sum(0.3 * power(CAST(0.7 AS DOUBLE), a.n - b.n) * b.score) AS display_score
     FROM scored a JOIN scored b ON a.simulation_id = b.simulation_id AND b.n <= a.n
     GROUP BY a.simulation_id, a.step, a.score""",
-    "stressed": """
-    SELECT *, CASE WHEN oil_temp_c < 95 THEN ((95 - oil_temp_c) / 95) * ((95 - oil_temp_c) / 95) * load * CAST(0.001 AS DOUBLE) ELSE 0 END
-              + CASE WHEN oil_temp_c > 120 THEN (oil_temp_c - 120) * CAST(0.1 AS DOUBLE) * CAST(0.001 AS DOUBLE) ELSE 0 END
-              + CASE WHEN engine_rpm > 5000 THEN (engine_rpm / 5000 - 1) * (engine_rpm / 5000 - 1) * CAST(0.0005 AS DOUBLE) ELSE 0 END
-              + load * 1e-6 + 1e-8 AS impulse
-    FROM telemetry""",
-    "worn": f"""
-    SELECT simulation_id, step, least(1, sum(impulse * 6) OVER {_SO_FAR}) AS wear_level FROM stressed""",
     "fans": f"""
     SELECT simulation_id, step, coolant_temp_c,
            coalesce(last_value(CASE WHEN coolant_temp_c > 102 THEN TRUE WHEN coolant_temp_c < 96 THEN FALSE END IGNORE NULLS)
@@ -156,13 +149,6 @@ _SERVED = (
     "simulation_id, step, rpm_avg_10s, rpm_std_10s, throttle_avg_10s, engine_load_avg_10s, power_factor, speed_kmh, "
     "rpm_range_10s, current_gear, load_max_10s"
 )
-_HEALTH = f"""
-SELECT simulation_id, step, {rounded("wear_level", 9)} AS wear_level,
-       {rounded("greatest(0.1, 1 - wear_level * 0.4)", 9)} AS cooling_efficiency,
-       {rounded("least(0.5, wear_level * 0.35)", 9)} AS torque_loss_factor,
-       {rounded("1 - wear_level", 9)} AS health_status
-FROM worn"""
-_PEDAL = "CASE WHEN p < 0.15 THEN p * 0.4 WHEN p < 0.5 THEN 0.06 + (p - 0.15) * 0.9 ELSE 0.375 + (p - 0.5) * 1.25 END"
 _STREAM_STATS = f"""
 SELECT simulation_id, count(*) AS session_ticks,
        {rounded("avg(speed_kmh)", 6)} AS avg_speed_kmh,
@@ -220,9 +206,14 @@ def oracle_sql() -> dict[str, str]:
         "rolling_features": with_tables(f"SELECT {_SERVED} FROM features", "features"),
         "rolling_features_by_step": with_tables(
             f"""
-SELECT simulation_id, step,
-       {rounded(f"avg(engine_rpm) OVER ({_W} RANGE BETWEEN 100 PRECEDING AND CURRENT ROW)", 3)} AS rpm_avg_10s,
-       max(load) OVER ({_W} RANGE BETWEEN 100 PRECEDING AND CURRENT ROW) AS load_max_10s
+SELECT simulation_id, step, speed_kmh, current_gear,
+       {rounded(f"avg(engine_rpm) OVER {_BY_STEP}", 3)} AS rpm_avg_10s,
+       {rounded(f"stddev_samp(engine_rpm) OVER {_BY_STEP}", 3)} AS rpm_std_10s,
+       {rounded(f"avg(throttle) OVER {_BY_STEP}", 6)} AS throttle_avg_10s,
+       {rounded(f"avg(load) OVER {_BY_STEP}", 6)} AS engine_load_avg_10s,
+       {rounded("engine_rpm * load", 3)} AS power_factor,
+       {rounded(f"max(engine_rpm) OVER {_BY_STEP} - min(engine_rpm) OVER {_BY_STEP}", 3)} AS rpm_range_10s,
+       max(load) OVER {_BY_STEP} AS load_max_10s
 FROM base""",
             "base",
         ),
@@ -230,7 +221,13 @@ FROM base""",
         "label_threshold_approx": with_tables(
             "SELECT count(*) AS rated_rows, TRUE AS rank_within_bound FROM base", "base"
         ),
-        "gold_features_approx": with_tables(f"SELECT {_SERVED}, TRUE AS is_labelled FROM features", "features"),
+        "gold_features_approx": with_tables(
+            f"""
+SELECT {_SERVED}, CASE WHEN abs(steady_rate - p75) < 1e-6 THEN 'EITHER' WHEN steady_rate > p75 THEN 'AGGRESSIVE' ELSE 'NORMAL' END
+         AS driving_style
+FROM features CROSS JOIN threshold""",
+            "gold",
+        ),
         "rf_scores": with_tables(
             """
 SELECT simulation_id, step, driving_style, TRUE AS score_in_range, TRUE AS label_fits_score, TRUE AS confidence_fits_score
@@ -350,35 +347,9 @@ SELECT simulation_id, step,
 FROM telemetry""",
             "telemetry",
         ),
-        "throttle_map": with_tables(
-            f"""
-SELECT simulation_id, step, {rounded(_PEDAL, 6)} AS throttle_normal, {rounded("power(p, 1.8)", 6)} AS throttle_eco,
-       {rounded("power(p, 0.7)", 6)} AS throttle_sport
-FROM (SELECT simulation_id, step, greatest(0, least(1, pedal)) AS p FROM telemetry)""",
-            "telemetry",
-        ),
         "load_estimate": with_tables(
             f"SELECT simulation_id, step, {rounded('load', 6)} AS load FROM live", "live"
         ),
-        "wear_impulse": with_tables(
-            f"SELECT simulation_id, step, {rounded('impulse', 12)} AS impulse FROM stressed", "stressed"
-        ),
-        "wear_cumulative": with_tables(
-            f"SELECT simulation_id, step, {rounded('wear_level', 9)} AS wear_level FROM worn", "worn"
-        ),
-        "wear_carry_over": with_tables(
-            f"""
-SELECT simulation_id, step,
-       {rounded("least(1, least(1, coalesce(start_, 0)) + sum(impulse * 6) OVER (PARTITION BY simulation_id ORDER BY step))", 9)}
-         AS wear_level
-FROM stressed JOIN (
-    SELECT CAST(s_suppkey AS VARCHAR) AS simulation_id,
-           sum(own) OVER (PARTITION BY s_suppkey % 10 ORDER BY s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS start_
-    FROM supplier JOIN (SELECT simulation_id, sum(impulse * 6) AS own FROM stressed GROUP BY simulation_id) AS totals
-      ON totals.simulation_id = CAST(s_suppkey AS VARCHAR)) AS starts USING (simulation_id)""",
-            "stressed",
-        ),
-        "health_outputs": with_tables(_HEALTH, "worn"),
         "fan_hysteresis": with_tables("SELECT * FROM fans", "fans"),
         "gear_shift_events": with_tables(
             "SELECT simulation_id, step, previous_gear, current_gear, shift_count FROM shifts WHERE is_shift", "shifts"
@@ -412,7 +383,7 @@ SELECT 'driver.command' AS event_type, CAST(event_id AS VARCHAR) AS event_id,
        {rounded("greatest(0, least(1, value / 50))", 6)} AS pedal, CAST(NULL AS DOUBLE) AS brake
 FROM events""",
         "event_routing": "SELECT event_id, user_id, event_type, props AS payload FROM events WHERE event_type = 'purchase' AND props IS NOT NULL",
-        "control_clamp": f"SELECT event_id, {rounded('greatest(0, least(1, (value - 10) / 50))', 9)} AS control FROM events WHERE value IS NOT NULL",
+        "control_clamp": f"SELECT event_id, CASE WHEN event_id % 7 <> 0 AND value IS NOT NULL THEN {rounded('greatest(0, least(1, (value - 10) / 50))', 9)} END AS control FROM events",
         "default_fill": with_tables(
             """
 SELECT simulation_id, step, coalesce(engine_rpm, 0) AS engine_rpm, coalesce(speed_kmh, 0) AS speed_kmh,
@@ -424,10 +395,12 @@ FROM telemetry""",
         "membership_filter": with_tables(
             """
 SELECT simulation_id, step FROM silver
-WHERE simulation_id IN (SELECT simulation_id FROM silver WHERE engine_rpm >= 6400)""",
+WHERE simulation_id IN (SELECT simulation_id FROM silver WHERE speed_kmh >= 200 AND current_gear = 7)""",
             "silver",
         ),
         "table_silver": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
+        "table_silver_by_simulation": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
+        "table_silver_incremental": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
         "table_quarantine": with_tables(f"SELECT {_FLAT}, {_FLAGS} FROM checked WHERE NOT is_valid", "checked"),
         "table_metrics": with_tables(_METRICS, "checked"),
         "table_gold": with_tables("SELECT * FROM gold", "gold"),
@@ -450,6 +423,22 @@ FROM checked WHERE is_valid IS NOT NULL GROUP BY 1, 2""",
         "stream_session_stats": with_tables(_STREAM_STATS, "telemetry"),
         "stream_history": with_tables(_HISTORY, "telemetry"),
         "stream_serving_features": with_tables(f"SELECT {_SERVED} FROM serving", "serving"),
+        "stream_serving_features_gaps": with_tables(
+            f"""
+SELECT {_SERVED} FROM (
+    SELECT simulation_id, step, speed_kmh, current_gear, buffered, max_step,
+           {rounded(f"avg(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_avg_10s,
+           {rounded(f"stddev_samp(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_std_10s,
+           {rounded(f"avg(throttle) OVER {_BUFFER}", 6)} AS throttle_avg_10s,
+           {rounded(f"avg(load) OVER {_BUFFER}", 6)} AS engine_load_avg_10s,
+           {rounded("engine_rpm * load", 3)} AS power_factor,
+           {rounded(f"max(engine_rpm) OVER {_BUFFER} - min(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_range_10s,
+           {rounded(f"max(load) OVER {_BUFFER}", 6)} AS load_max_10s
+    FROM (SELECT *, count(*) OVER {_BUFFER} AS buffered, max(step) OVER (PARTITION BY simulation_id) AS max_step
+          FROM live WHERE step % 2 = 0)
+) WHERE buffered = 300 AND step <= max_step - 256""",
+            "live",
+        ),
         "stream_score_ema": with_tables(_SMOOTHED, "smoothed"),
         "stream_live_coaching": with_tables(
             "SELECT simulation_id, step, TRUE AS score_in_range, TRUE AS display_fits, TRUE AS tier_fits FROM scored", "scored"

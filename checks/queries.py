@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tachyline.functions import driving, events, wear
+from tachyline.functions import driving, events
 from tachyline.functions.numbers import steady_round
 from tachyline.operators import evaluation, features, forest, labels, quality, sessions, split
 from tachyline.operators.lanes import Lanes
@@ -23,9 +23,10 @@ from tachyline.schemas import (
 from tachyline.session import fresh_path, settings, stage
 from tachyline.sources import streams
 from tachyline.sources.recorded import telemetry
-from tachyline.sources.tables import read_bronze, read_silver, read_table
+from tachyline.sources.tables import read_bronze, read_silver, read_table, write_gold, write_silver
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
+from tachyline.streaming.windows import PATIENCE_STEPS as WAITING_STEPS
 from tachyline.streaming.windows import ROCKSDB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +42,6 @@ FEATURE_PLACES = {
 }
 SERVING_PLACES = {**FEATURE_PLACES, "load_max_10s": 6}
 CHECK_TREES = 20
-# The files of the test streams hold rows in no order: wait for a row as long as its block lasts.
-ANY_ORDER = 1 << 14
 
 
 def query(function: Query) -> Query:
@@ -74,8 +73,13 @@ def rates(spark: SparkSession, directory: str) -> Lanes:
     return silver(spark, directory).map(features.wear_rates).transform(features.labelled_rows)
 
 
+def rated(spark: SparkSession, directory: str) -> DataFrame:
+    """The table Gold is made from, with rates rounded so that two engines' sums agree."""
+    return stage(rounded(medallion.rated_features(silver(spark, directory)), {"future_wear_rate": 12}), "rated")
+
+
 def labelled(spark: SparkSession, directory: str) -> DataFrame:
-    return medallion.gold_table(silver(spark, directory), exact=True)
+    return medallion.gold_table(rated(spark, directory), exact=True)
 
 
 def live(spark: SparkSession, directory: str) -> Lanes:
@@ -187,19 +191,19 @@ def rolling_features(spark, directory):
 @query
 def rolling_features_by_step(spark, directory):
     made = rates(spark, directory).map(features.rolling_features_by_step).union()
-    return rounded(made, {"rpm_avg_10s": 3}).select("simulation_id", "step", "rpm_avg_10s", "load_max_10s")
+    return rounded(made, FEATURE_PLACES).select("simulation_id", "step", *FEATURE_COLUMNS)
 
 
 @query
 def label_threshold_exact(spark, directory):
-    return labels.exact_threshold(rates(spark, directory).union())
+    return labels.exact_threshold(rounded(rates(spark, directory).union(), {"future_wear_rate": 12}))
 
 
 @query
 def label_threshold_approx(spark, directory):
     """Whether the rank of the approximate threshold is off by no more than its stated error."""
-    rated = rates(spark, directory).union().select("future_wear_rate")
-    compared = rated.withColumn("threshold", labels.approximate_threshold(rated).scalar())
+    found_rates = rates(spark, directory).union().select("future_wear_rate")
+    compared = found_rates.withColumn("threshold", labels.approximate_threshold(found_rates).scalar())
     rate, found = F.col("future_wear_rate"), F.col("threshold")
     counted = compared.agg(
         F.count(F.lit(1)).alias("rated_rows"),
@@ -218,9 +222,14 @@ def gold_features(spark, directory):
 
 @query
 def gold_features_approx(spark, directory):
-    made = medallion.gold_table(silver(spark, directory))
-    labelled_rows = made.withColumn("is_labelled", F.col("driving_style").isin(AGGRESSIVE, NORMAL))
-    return rounded(labelled_rows, FEATURE_PLACES).drop("driving_style")
+    """The default label; rows within the error of the approximate threshold may have either."""
+    table_ = rated(spark, directory)
+    threshold = labels.approximate_threshold(table_).scalar()
+    styled = table_.withColumn("driving_style", labels.style_label(F.col("future_wear_rate"), threshold))
+    exact = labels.exact_threshold(table_).select("threshold").scalar()
+    near = F.abs(F.col("future_wear_rate") - exact) < 1e-6
+    shown = styled.withColumn("driving_style", F.when(near, "EITHER").otherwise(F.col("driving_style")))
+    return rounded(split.available_columns(shown), FEATURE_PLACES)
 
 
 @query
@@ -416,57 +425,11 @@ def throttle_rate(spark, directory):
     return rounded(made, {"throttle_change_rate": 6}).select("simulation_id", "step", "throttle_change_rate")
 
 
-@query
-def throttle_map(spark, directory):
-    made = telemetry(spark, directory, extended=True).union()
-    styles = {f"throttle_{style}": driving.throttle_curve(F.col("pedal"), style) for style in ("normal", "eco", "sport")}
-    return made.select(
-        "simulation_id", "step", *[steady_round(column, 6).alias(name) for name, column in styles.items()]
-    )
-
-
 @query
 def load_estimate(spark, directory):
     return rounded(live(spark, directory).union(), {"load": 6}).select("simulation_id", "step", "load")
 
 
-@query
-def wear_impulse(spark, directory):
-    impulse = wear.wear_impulse(F.col("oil_temp_c"), F.col("load"), F.col("engine_rpm"))
-    return telemetry(spark, directory).union().select("simulation_id", "step", steady_round(impulse, 12).alias("impulse"))
-
-
-@query
-def wear_cumulative(spark, directory):
-    made = telemetry(spark, directory).map(sessions.cumulative_wear).union()
-    return rounded(made, {"wear_level": 9}).select("simulation_id", "step", "wear_level")
-
-
-@query
-def wear_carry_over(spark, directory):
-    """Ten vehicles drive one simulation after the other; wear goes on where the last one left it."""
-    lanes = telemetry(spark, directory)
-    number = F.col("s_suppkey")
-    listed = table(spark, directory, "supplier").select(
-        number.cast("string").alias("simulation_id"),
-        (number % 10).cast("string").alias("vehicle_id"),
-        number.alias("session_number"),
-    )
-    starts = sessions.starting_wear(lanes.union(), listed)
-    made = lanes.map(
-        lambda df, lane: sessions.cumulative_wear(df.join(starts, "simulation_id"), lane, initial=F.col("start_wear"))
-    ).union()
-    return rounded(made, {"wear_level": 9}).select("simulation_id", "step", "wear_level")
-
-
-@query
-def health_outputs(spark, directory):
-    worn = telemetry(spark, directory).map(sessions.cumulative_wear).union()
-    made = worn.withColumns(wear.health(F.col("wear_level")))
-    names = ["wear_level", "cooling_efficiency", "torque_loss_factor", "health_status"]
-    return rounded(made, dict.fromkeys(names, 9)).select("simulation_id", "step", *names)
-
-
 @query
 def fan_hysteresis(spark, directory):
     made = telemetry(spark, directory).map(sessions.fan_state).union()
@@ -546,8 +509,8 @@ def event_routing(spark, directory):
 @query
 def control_clamp(spark, directory):
     control = events.clamp_unit((F.col("value") - 10) / 50)
-    rows = table(spark, directory, "events").where(F.col("value").isNotNull())
-    return rows.select("event_id", steady_round(control, 9).alias("control"))
+    given = F.when(F.col("event_id") % 7 != 0, control)
+    return table(spark, directory, "events").select("event_id", steady_round(given, 9).alias("control"))
 
 
 @query
@@ -563,6 +526,18 @@ def as_stream(df: DataFrame, name: str) -> DataFrame:
     return streams.file_stream(df.sparkSession, path, df.schema, max_files=3)
 
 
+STEP_SPAN = 80
+
+
+def by_step(df: DataFrame, name: str, step: str = "step") -> DataFrame:
+    """The rows of ``df`` as a live stream: ``STEP_SPAN`` steps after the other, in no order among them."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    rows = stage(df, name)
+    for start in range(0, rows.agg(F.max(step)).first()[0] + 1, STEP_SPAN):
+        rows.where(F.col(step).between(start, start + STEP_SPAN - 1)).repartition(1).write.mode("append").parquet(path)
+    return streams.file_stream(spark, path, rows.schema, max_files=3)
+
+
 def streamed(spark: SparkSession, name: str, run: Callable[[str, str], None]) -> str:
     """Run a bounded stream into a fresh table and return its path."""
     path = fresh_path(spark, name)
@@ -572,10 +547,10 @@ def streamed(spark: SparkSession, name: str, run: Callable[[str, str], None]) ->
 
 @query
 def membership_filter(spark, directory):
-    """Rows of the simulations that reach the red zone."""
+    """Rows of the simulations that reach 200 km/h in the highest gear: about a third of them."""
     rows = silver(spark, directory).union()
-    red = rows.where(driving.rpm_zone(F.col("engine_rpm")) == "red")
-    return split.of_simulations(rows, split.distinct_simulations(red)).select("simulation_id", "step")
+    fast = rows.where("speed_kmh >= 200 AND current_gear = 7")
+    return split.of_simulations(rows, split.distinct_simulations(fast)).select("simulation_id", "step")
 
 
 def lakehouse(spark: SparkSession, directory: str, *jobs: Callable[[SparkSession, medallion.Layout], None]) -> medallion.Layout:
@@ -597,8 +572,18 @@ def _hashed_silver(spark: SparkSession, layout: medallion.Layout) -> None:
     medallion.run_silver(spark, layout, silver_layout="hashed")
 
 
+def _silver_by_simulation(spark: SparkSession, layout: medallion.Layout) -> None:
+    medallion.run_silver(spark, layout)
+
+
 def _exact_gold(spark: SparkSession, layout: medallion.Layout) -> None:
-    medallion.run_gold(spark, layout, exact=True)
+    """The Gold job on rates that are rounded first, as the SQL's are."""
+    write_gold(medallion.gold_table(_rounded_rates(spark, layout), exact=True), layout.at("gold"))
+
+
+def _rounded_rates(spark: SparkSession, layout: medallion.Layout) -> DataFrame:
+    made = medallion.rated_features(Lanes.of(read_silver(spark, layout.at("silver"))))
+    return stage(rounded(made, {"future_wear_rate": 12}), "rated")
 
 
 @query
@@ -608,6 +593,23 @@ def table_silver(spark, directory):
     return read_silver(spark, layout.at("silver")).drop("processed_at")
 
 
+@query
+def table_silver_by_simulation(spark, directory):
+    layout = lakehouse(spark, directory, _silver_by_simulation)
+    return read_silver(spark, layout.at("silver")).drop("processed_at")
+
+
+@query
+def table_silver_incremental(spark, directory):
+    """Silver from overlapping slices of steps, one of them delivered twice; buckets hold many simulations."""
+    rows = silver(spark, directory).union().withColumn("processed_at", F.current_timestamp())
+    slices = [F.col("step") < 250, F.col("step").between(200, 450), F.col("step") < 250, F.col("step") > 400]
+    path = fresh_path(spark, "silver")
+    for chosen in slices:
+        write_silver(rows.where(chosen), path, layout="hashed")
+    return read_silver(spark, path).drop("processed_at")
+
+
 @query
 def table_quarantine(spark, directory):
     layout = lakehouse(spark, directory, _hashed_silver)
@@ -693,24 +695,41 @@ def stream_history(spark, directory):
 
 @query
 def stream_serving_features(spark, directory):
-    stream = as_stream(serving.live_samples(telemetry(spark, directory).union()), "live-samples")
+    stream = by_step(serving.live_samples(telemetry(spark, directory).union()), "live-samples")
 
     def run(path: str, log: str) -> None:
-        streams.append_parquet(serving.serving_features(stream, patience=ANY_ORDER), path, log, True).awaitTermination()
+        streams.append_parquet(serving.serving_features(stream), path, log, True).awaitTermination()
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "serving", run)
     return rounded(spark.read.parquet(path), SERVING_PLACES)
 
 
+@query
+def stream_serving_features_gaps(spark, directory):
+    """Every second step never comes: windows still hold 300 rows."""
+    samples = serving.live_samples(telemetry(spark, directory).union()).where("step % 2 = 0")
+    stream = by_step(samples, "gapped-samples")
+
+    def run(path: str, log: str) -> None:
+        streams.append_parquet(serving.serving_features(stream), path, log, True).awaitTermination()
+
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "serving-gaps", run)
+    # The last rows of a simulation wait for a successor or for the timer of a running stream.
+    last = samples.groupBy("simulation_id").agg((F.max("step") - WAITING_STEPS).alias("last"))
+    made = spark.read.parquet(path).join(last, "simulation_id").where("step <= last").drop("last")
+    return rounded(made, SERVING_PLACES)
+
+
 @query
 def stream_score_ema(spark, directory):
     """Scores as a prediction stream would deliver them, smoothed with keyed state."""
     scored = predictions(spark, directory).union().select("simulation_id", "step", "score")
-    stream = as_stream(scored, "scores")
+    stream = by_step(scored, "scores")
 
     def run(path: str, log: str) -> None:
-        streams.append_parquet(serving.smoothed_scores(stream, patience=ANY_ORDER), path, log, True).awaitTermination()
+        streams.append_parquet(serving.smoothed_scores(stream), path, log, True).awaitTermination()
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "smoothed", run)
@@ -722,14 +741,15 @@ def stream_live_coaching(spark, directory):
     """JSON events to predictions to coaching output, by two streams with a table between them."""
     train, _ = _split(spark, directory)
     model = forest.fit_forest(stage(train, "train"), trees=5)
-    messages = as_stream(raw_events(spark, directory).withColumnRenamed("raw_event", "value"), "live-messages")
+    numbered = raw_events(spark, directory).select(F.col("raw_event").alias("value"), F.get_json_object("raw_event", "$.payload.step").cast("int").alias("step"))
+    messages = by_step(numbered, "live-messages")
 
     def scoring(path: str, log: str) -> None:
-        serving.start_scoring(messages, model, path, log, True, patience=ANY_ORDER).awaitTermination()
+        serving.start_scoring(messages, model, path, log, True).awaitTermination()
 
     def coaching(path: str, log: str) -> None:
         predicted = streams.file_stream(spark, scored, spark.read.parquet(scored).schema)
-        serving.start_coaching(predicted, path, log, True, patience=ANY_ORDER).awaitTermination()
+        serving.start_coaching(predicted, path, log, True).awaitTermination()
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         scored = streamed(spark, "scored", scoring)

@@ -1,9 +1,8 @@
-"""Driving-style expressions: load estimate, decision, coaching, pedal curve, gauge zones."""
+"""Driving-style expressions: load estimate, decision, coaching, gauge zones."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tachyline.functions.events import clamp_unit
 from tachyline.schemas import AGGRESSIVE, NORMAL
 
 # Nominal and red-line engine speed, coaching limits.
@@ -60,15 +59,6 @@ def warmup_text(progress_pct: Column) -> Column:
     return F.format_string("AI is warming up...\nProgress: %.0f%%", progress_pct)
 
 
-def throttle_curve(pedal: Column, style: str | Column = "normal") -> Column:
-    """Throttle from pedal position: two power curves, and three straight pieces for "normal"."""
-    p = clamp_unit(pedal)
-    mode = F.lit(style) if isinstance(style, str) else style
-    pieces = F.when(p < 0.15, p * 0.4).when(p < 0.5, 0.06 + (p - 0.15) * 0.9).otherwise(0.375 + (p - 0.5) * 1.25)
-    curve = F.when(mode == "eco", F.pow(p, F.lit(1.8))).when(mode == "sport", F.pow(p, F.lit(0.7))).otherwise(pieces)
-    return F.when(p.isNotNull(), curve)
-
-
 def rpm_zone(rpm: Column, redline: float = REDLINE_RPM) -> Column:
     return F.when(rpm >= redline, "red").when(rpm >= redline * YELLOW_SHARE, "yellow").when(rpm.isNotNull(), "green")
 

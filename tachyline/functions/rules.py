@@ -17,18 +17,12 @@ RANGES = {
 }
 
 
-def null_violation() -> Column:
-    return F.expr(" OR ".join(f"{name} IS NULL" for name in REQUIRED))
-
-
-def range_violation() -> Column:
-    return F.expr(" OR ".join(f"{name} < {low} OR {name} > {high}" for name, (low, high) in RANGES.items()))
-
-
-def logical_violation() -> Column:
-    """No logical rule exists; the flag keeps its place in the table."""
-    return F.lit(False)
-
-
-def validity() -> Column:
-    return ~(F.col("is_null_violation") | F.col("is_range_violation") | F.col("is_logical_violation"))
+def flags() -> dict[str, Column]:
+    """One flag per rule; no logical rule exists, its flag keeps its place in the table."""
+    missing = [f"{name} IS NULL" for name in REQUIRED]
+    outside = [f"{name} < {low} OR {name} > {high}" for name, (low, high) in RANGES.items()]
+    return {
+        "is_null_violation": F.expr(" OR ".join(missing)),
+        "is_range_violation": F.expr(" OR ".join(outside)),
+        "is_logical_violation": F.lit(False),
+    }

@@ -7,12 +7,10 @@ a single mergeable aggregate inside the plan; ``exact_threshold`` selects by ran
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tachyline.functions.numbers import steady_round
 from tachyline.operators.selection import exact_quantile
 from tachyline.schemas import AGGRESSIVE, LABEL_FALLBACK, LABEL_QUANTILE, NORMAL, TARGET_COLUMN
 
 RATE = "future_wear_rate"
-STEADY_PLACES = 12
 
 
 def approximate_threshold(df: DataFrame, quantile: float = LABEL_QUANTILE) -> DataFrame:
@@ -21,9 +19,9 @@ def approximate_threshold(df: DataFrame, quantile: float = LABEL_QUANTILE) -> Da
     return df.groupBy().agg(F.coalesce(approx, F.lit(LABEL_FALLBACK)).alias("threshold"))
 
 
-def exact_threshold(df: DataFrame, quantile: float = LABEL_QUANTILE, places: int = STEADY_PLACES) -> DataFrame:
-    """One row, one column ``threshold``, over rates rounded to ``places``."""
-    found = exact_quantile(df.select(steady_round(F.col(RATE), places).alias(RATE)), quantile)
+def exact_threshold(df: DataFrame, quantile: float = LABEL_QUANTILE) -> DataFrame:
+    """One row, one column ``threshold``."""
+    found = exact_quantile(df.select(RATE), quantile)
     value = LABEL_FALLBACK if found is None else found
     return df.sparkSession.range(1).select(F.lit(value).alias("threshold"))
 
@@ -33,7 +31,6 @@ def style_label(rate: Column, threshold: Column) -> Column:
     return F.when(rate > threshold, AGGRESSIVE).otherwise(NORMAL)
 
 
-def add_label(df: DataFrame, threshold: DataFrame, places: int | None = None) -> DataFrame:
+def add_label(df: DataFrame, threshold: DataFrame) -> DataFrame:
     """Compare every rate with the one-row ``threshold``, a scalar subquery of the plan."""
-    rate = F.col(RATE) if places is None else steady_round(F.col(RATE), places)
-    return df.withColumn(TARGET_COLUMN, style_label(rate, threshold.select("threshold").scalar()))
+    return df.withColumn(TARGET_COLUMN, style_label(F.col(RATE), threshold.select("threshold").scalar()))

@@ -37,6 +37,7 @@ BLOCK_ROWS = 1 << 19
 MAX_LISTED_KEYS = 10_000
 
 _BLOCK, _SEQ, _OWN = "__block", "__seq", "__own"
+_KEY, _AT = "__carry_key", "__carry_block"
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE_HERE = (Window.unboundedPreceding, -1)
 
@@ -64,7 +65,9 @@ class Running:
         if self.kind == "count":
             return F.count(F.lit(1))
         if self.kind == "last":
-            return F.max_by(self.value, F.when(self.value.isNotNull(), order))
+            # Order values may be missing; such rows come first.
+            placed = F.struct(order.isNotNull(), order)
+            return F.max_by(self.value, F.when(self.value.isNotNull(), placed))
         return F.sum(self.value)
 
     def join_carry(self, carry: Column, inside: Column) -> Column:
@@ -150,24 +153,28 @@ class LongLane:
         order: Sequence[str] = ORDER,
         block_rows: int | None = None,
     ) -> DataFrame:
-        """Blocks are ranges of the leading order column, ``block_rows`` units wide."""
+        """Blocks are ranges of the leading order column, ``block_rows`` units wide.
+
+        Rows without an order value are the first block; a missing key is a key.
+        """
         width = block_rows or self.block_rows
         blocked = df.withColumn(_BLOCK, F.floor(F.col(order[0]) / width))
         position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-        totals = blocked.groupBy(KEY, _BLOCK).agg(
+        totals = blocked.groupBy(F.col(KEY).alias(_KEY), F.col(_BLOCK).alias(_AT)).agg(
             *[spec.block_total(position).alias(f"__total_{name}") for name, spec in specs.items()]
         )
-        earlier = Window.partitionBy(KEY).orderBy(_BLOCK).rowsBetween(*_BEFORE_HERE)
+        earlier = Window.partitionBy(_KEY).orderBy(_AT).rowsBetween(*_BEFORE_HERE)
         carries = totals.select(
-            KEY,
-            _BLOCK,
+            _KEY,
+            _AT,
             *[
                 spec.fold(F.col(f"__total_{name}")).over(earlier).alias(f"__carry_{name}")
                 for name, spec in specs.items()
             ],
         )
         window = Window.partitionBy(KEY, _BLOCK).orderBy(*order)
-        joined = blocked.join(carries, [KEY, _BLOCK])
+        same = F.col(KEY).eqNullSafe(F.col(_KEY)) & F.col(_BLOCK).eqNullSafe(F.col(_AT))
+        joined = blocked.join(carries, same)
         valued = joined.withColumns(
             {
                 name: spec.join_carry(F.col(f"__carry_{name}"), spec.over(window))
@@ -257,10 +264,13 @@ class Lanes:
         keys = long_keys(df, key, limit)
         if keys is None:
             return cls([(df, SHORT)])
+        # A missing key is a key too, and may be a long one.
+        listed = keys.withColumnRenamed(key, _KEY)
+        found = df[key].eqNullSafe(listed[_KEY])
         return cls(
             [
-                (df.join(keys, key, "left_anti"), SHORT),
-                (df.join(keys, key, "left_semi"), LongLane(block)),
+                (df.join(listed, found, "left_anti"), SHORT),
+                (df.join(listed, found, "left_semi"), LongLane(block)),
             ]
         )
 

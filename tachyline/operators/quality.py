@@ -1,5 +1,7 @@
 """Parsing of raw events, quality checks, split and metrics."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,9 @@ from tachyline.functions import rules
 from tachyline.schemas import EXTENDED_PATHS, METRICS_DATASET, QUALITY_FLAGS, SILVER_PATHS, raw_event_schema
 
 
+VERDICT = "is_valid"
+
+
 def bronze_projection(df: DataFrame) -> DataFrame:
     """Kafka source rows with the metadata renamed and the payload as text."""
     return df.select(
@@ -30,40 +35,37 @@ def flatten_events(df: DataFrame, extended: bool = False, keep_raw: bool = False
 
 
 def check_quality(df: DataFrame) -> DataFrame:
-    return (
-        df.withColumn("is_null_violation", rules.null_violation())
-        .withColumn("is_range_violation", rules.range_violation())
-        .withColumn("is_logical_violation", rules.logical_violation())
-        .withColumn("is_valid", rules.validity())
-    )
+    """The rows with one flag per rule and the verdict, in a single projection."""
+    flags = rules.flags()
+    broken = reduce(Column.__or__, flags.values())
+    return df.select("*", *[flag.alias(name) for name, flag in flags.items()], (~broken).alias(VERDICT))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where("is_valid = true").drop(*QUALITY_FLAGS)
+    """Rows that no rule objects to, without the flags."""
+    kept = [name for name in checked.columns if name not in QUALITY_FLAGS]
+    return checked.where(F.col(VERDICT)).select(*kept)
 
 
 def quarantined_rows(checked: DataFrame, strict: bool = False) -> DataFrame:
     """Invalid rows; ``strict`` adds the undetermined ones, which otherwise go nowhere."""
-    return checked.where("is_valid IS DISTINCT FROM true" if strict else "is_valid = false")
+    verdict = F.col(VERDICT)
+    return checked.where(~F.coalesce(verdict, F.lit(False)) if strict else ~verdict)
 
 
-def _flagged(flag: Column) -> Column:
-    return F.sum(flag.cast("int"))
+# What the metrics table counts; a NULL counts for neither side, and nothing sums up to NULL.
+COUNTED = {
+    "null_violations": "is_null_violation",
+    "range_violations": "is_range_violation",
+    "invalid_rows": f"NOT {VERDICT}",
+}
 
 
 def quality_metrics(checked: DataFrame) -> DataFrame:
-    """One row of counts; a NULL flag counts in ``total_rows`` only."""
-    return (
-        checked.groupBy()
-        .agg(
-            F.count("*").alias("total_rows"),
-            _flagged(F.col("is_null_violation")).alias("null_violations"),
-            _flagged(F.col("is_range_violation")).alias("range_violations"),
-            _flagged(~F.col("is_valid")).alias("invalid_rows"),
-        )
-        .withColumn("dataset", F.lit(METRICS_DATASET))
-        .withColumn("check_time", F.current_timestamp())
-    )
+    """One row: all rows, and those that meet each condition."""
+    counts = [F.expr(f"sum(int({condition}))").alias(name) for name, condition in COUNTED.items()]
+    stamped = [F.lit(METRICS_DATASET).alias("dataset"), F.current_timestamp().alias("check_time")]
+    return checked.agg(F.count(F.lit(1)).alias("total_rows"), *counts).select("*", *stamped)
 
 
 def undetermined_count(checked: DataFrame) -> DataFrame:

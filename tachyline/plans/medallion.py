@@ -31,7 +31,7 @@ def check_events(bronze: DataFrame, extended: bool = False, keep_raw: bool = Fal
 def run_silver(
     spark: SparkSession,
     layout: Layout,
-    mode: str = "replace",
+    mode: str = "merge",
     strict: bool = False,
     silver_layout: str = "simulation",
     keep_raw: bool = False,
@@ -48,21 +48,24 @@ def run_silver(
     tables.write_silver(valid, layout.at("silver"), mode, silver_layout)
 
 
-def gold_table(silver: Lanes, exact: bool = False) -> DataFrame:
-    """Features and label of every labelled row.
+def rated_features(silver: Lanes) -> DataFrame:
+    """Features of every labelled row beside its ``future_wear_rate``: rates and features share one exchange."""
+    return silver.map(features.gold_features).union()
 
-    The threshold is computed from the three columns it needs and compared as a
-    scalar; the features follow in a second pass over the table.
+
+def gold_table(rated: DataFrame, exact: bool = False) -> DataFrame:
+    """Features and label from ``rated_features``, which should be a table: it is read twice.
+
+    The threshold needs one column of it and is compared as a scalar.
     """
-    rates = silver.map(features.wear_rates).transform(features.labelled_rows).union()
-    threshold = labels.exact_threshold(rates) if exact else labels.approximate_threshold(rates)
-    made = silver.map(features.gold_features).union()
-    return split.available_columns(labels.add_label(made, threshold, labels.STEADY_PLACES if exact else None))
+    threshold = labels.exact_threshold(rated) if exact else labels.approximate_threshold(rated)
+    return split.available_columns(labels.add_label(rated, threshold))
 
 
 def run_gold(spark: SparkSession, layout: Layout, exact: bool = False) -> None:
     silver = tables.read_silver(spark, layout.at("silver"))
-    tables.write_gold(gold_table(Lanes.of(silver), exact), layout.at("gold"))
+    rated = stage(rated_features(Lanes.of(silver)), "rated")
+    tables.write_gold(gold_table(rated, exact), layout.at("gold"))
 
 
 def run_dataset(spark: SparkSession, layout: Layout) -> None:

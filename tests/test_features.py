@@ -49,7 +49,7 @@ def test_equal_rates_are_all_normal(spark):
     rated = spark.createDataFrame([("a", n, 0.5) for n in range(40)], "simulation_id string, step int, future_wear_rate double")
     for threshold in (labels.approximate_threshold(rated), labels.exact_threshold(rated)):
         assert threshold.first()["threshold"] == 0.5
-        styles = labels.add_label(rated, threshold, labels.STEADY_PLACES).select("driving_style").distinct().collect()
+        styles = labels.add_label(rated, threshold).select("driving_style").distinct().collect()
         assert [row[0] for row in styles] == ["NORMAL"]
 
 

@@ -119,3 +119,20 @@ def test_one_simulation_with_a_third_of_all_rows(spark):
     spread = lanes.parts[1][0].transform(lambda part: LongLane(1_000).running(part, {"n": row_count()}))
     plan = spread._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(simulation_id#\d+, __block#", plan)
+
+
+@pytest.mark.parametrize("block", [3, 16])
+def test_missing_steps_and_keys_are_kept_in_the_long_lane(spark, block):
+    """A row without a step comes first; rows without a simulation are one."""
+    df = series(spark, block, sizes=(40,)).unionByName(series(spark, 5, sizes=(25,)).withColumn("simulation_id", F.lit(None).cast("string")))
+    first = spark.createDataFrame([("s0", None, 5.0), (None, None, 7.0)], df.schema)
+    df = df.unionByName(first)
+    specs = {"n": row_count(), "total": running_sum(F.col("x")), "known": last_known(F.col("x"))}
+    same(LongLane(block).running(df, specs), SHORT.running(df, specs))
+
+    def change(w):
+        return {"before": F.lag("x", 2).over(w)}
+
+    same(LongLane(block).framed(df, change, before=2), SHORT.framed(df, change, before=2))
+    lanes = Lanes.of(df, long_rows=20, block_rows=block)
+    assert [part.count() for part, _ in lanes.parts] == [0, 67]

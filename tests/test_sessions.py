@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tachyline.functions import driving, events, wear
+from tachyline.functions import driving, events
 from tachyline.functions.numbers import steady_round
 from tachyline.operators import evaluation, sessions
 from tachyline.operators.lanes import SHORT, LongLane
@@ -49,27 +49,6 @@ def test_gear_changes_and_stays(spark, lane):
     assert [(row["current_gear"], row["dwell_rows"]) for row in stays] == [(1, 2), (2, 3), (1, 1)]
 
 
-def test_wear_grows_to_one_and_carries_over(spark):
-    rows = [("s", n, 20.0, 1.0, 6000.0) for n in range(50)]
-    df = spark.createDataFrame(rows, "simulation_id string, step int, oil_temp_c double, load double, engine_rpm double")
-    levels = column(sessions.cumulative_wear(df), "wear_level")
-    cold = ((95 - 20) / 95) ** 2 * 0.001
-    impulse = cold + (6000 / 5000 - 1) ** 2 * 0.0005 + 1e-6 + 1e-8
-    assert levels == pytest.approx([impulse * 6 * (n + 1) for n in range(50)])
-    assert levels == sorted(levels)
-    assert column(sessions.cumulative_wear(df, initial=F.lit(0.999)), "wear_level")[-1] == 1.0
-
-
-@pytest.mark.parametrize(("oil", "rpm", "expected"), [(100.0, 4000.0, 0.5e-6 + 1e-8), (130.0, 4000.0, 0.001 + 0.5e-6 + 1e-8)])
-def test_wear_impulse_parts(spark, oil, rpm, expected):
-    assert value(spark, wear.wear_impulse(F.lit(oil), F.lit(0.5), F.lit(rpm))) == pytest.approx(expected)
-
-
-def test_health_is_limited(spark):
-    worn = {name: value(spark, made) for name, made in wear.health(F.lit(1.0)).items()}
-    assert worn == pytest.approx({"cooling_efficiency": 0.6, "torque_loss_factor": 0.35, "health_status": 0.0})
-
-
 def test_running_means_count_missing_values_as_zero(spark):
     made = sessions.running_means(samples(spark, "speed_kmh", [10.0, None, 20.0]), {"speed_kmh": "mean"})
     assert column(made, "mean") == [10.0, 5.0, 10.0]
@@ -92,23 +71,6 @@ def test_throttle_rate_guards_against_standing_time(spark):
     assert column(sessions.throttle_rate(df), "throttle_change_rate") == [None, pytest.approx(2.0), pytest.approx(1000.0)]
 
 
-@pytest.mark.parametrize(
-    ("pedal", "style", "expected"),
-    [
-        (0.1, "normal", 0.04),
-        (0.15, "normal", 0.06),
-        (0.5, "normal", 0.375),
-        (2.0, "normal", 1.0),
-        (-1.0, "normal", 0.0),
-        (0.5, "eco", 0.5**1.8),
-        (0.5, "sport", 0.5**0.7),
-        (0.5, "unknown", 0.375),
-    ],
-)
-def test_throttle_curve(spark, pedal, style, expected):
-    assert value(spark, driving.throttle_curve(F.lit(pedal), style)) == pytest.approx(expected)
-
-
 @pytest.mark.parametrize(
     ("score", "status", "key"),
     [(70.1, "DANGER", "aggressive"), (70.0, "CAUTION", "normal"), (30.1, "CAUTION", "normal"), (30.0, "OPTIMAL", "calm")],
@@ -168,13 +130,3 @@ def test_balanced_class_weights(spark):
 def test_steady_round_sends_noisy_ties_up(spark):
     for v in (0.0000005, 0.00000049999999999, 0.00000050000000001):
         assert value(spark, steady_round(F.lit(v), 6)) == 1e-6
-
-
-def test_wear_starts_where_the_last_session_ended(spark):
-    rows = [(name, n, 20.0, load, 1000.0) for name, load in (("b", 0.5), ("a", 1.0), ("c", 0.25)) for n in range(4)]
-    df = spark.createDataFrame(rows, "simulation_id string, step int, oil_temp_c double, load double, engine_rpm double")
-    order = [("b", "car", 1), ("a", "car", 2), ("c", "van", 1)]
-    listed = spark.createDataFrame(order, "simulation_id string, vehicle_id string, session_number int")
-    starts = {row[0]: row[1] for row in sessions.starting_wear(df, listed).collect()}
-    of_b = 4 * 6 * (((95 - 20) / 95) ** 2 * 0.5 * 0.001 + 0.5e-6 + 1e-8)
-    assert starts == {"b": pytest.approx(0.0), "a": pytest.approx(of_b), "c": pytest.approx(0.0)}
