@@ -33,6 +33,8 @@ THRESHOLD = 0.3
 ROUNDS = 120
 RATE = 0.1
 SPARSITY = 2e-4
+LEAST_TEXTS = 3  # texts that a feature must occur in to get a weight
+BLOCK_TEXTS = 1024
 COUNTERFACTUAL = 1.0
 # Terms that name groups of people, each with its counterpart.
 COUNTERPARTS = (
@@ -66,34 +68,31 @@ def swapped(words: set[bytes], pairs: tuple = COUNTERPARTS) -> set[bytes] | None
 
 
 def learn(labels: np.ndarray, texts: list[np.ndarray], others: list[np.ndarray | None]) -> tuple[float, np.ndarray]:
-    """Constant term and weights; Adam on the whole sample with soft thresholding."""
+    """Constant term and weights; Adam on the whole sample, block by block, with soft thresholding."""
     weights = np.zeros(BUCKETS)
     rate = labels.mean() if len(labels) else 0.0
     if rate in (0.0, 1.0):
         return (np.inf if rate else -np.inf), weights
-    sizes = [len(t) for t in texts]
-    seen = np.concatenate(texts)
-    common = np.bincount(seen, minlength=BUCKETS) >= 2
-    features = np.flatnonzero(common)
-    place = np.cumsum(common) - 1
-    row = np.repeat(np.arange(len(texts)), sizes)[common[seen]]
-    column = place[seen[common[seen]]]
-    # x - x' of the texts that name a group, as (row, column, sign).
-    pairs = [(i, np.setdiff1d(a, b), np.setdiff1d(b, a)) for i, (a, b) in enumerate(zip(texts, others, strict=True)) if b is not None]
-    c_row = np.concatenate([np.full(len(a) + len(b), i) for i, a, b in pairs] or [np.empty(0, int)]).astype(int)
-    c_column = np.concatenate([np.concatenate([a, b]) for _, a, b in pairs] or [np.empty(0, int)]).astype(int)
-    c_sign = np.concatenate([np.repeat([1.0, -1.0], [len(a), len(b)]) for _, a, b in pairs] or [np.empty(0)])
-    kept = common[c_column]
-    c_row, c_column, c_sign = c_row[kept], place[c_column[kept]], c_sign[kept]
+    df = np.zeros(BUCKETS, np.int32)
+    for text in texts:
+        df[text] += 1
+    features = np.flatnonzero(df >= LEAST_TEXTS)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[features] = np.arange(len(features))
     count, size = len(labels), len(features)
+    blocks = [_block(texts[at : at + BLOCK_TEXTS], others[at : at + BLOCK_TEXTS], place) for at in range(0, count, BLOCK_TEXTS)]
     w, bias = np.zeros(size), float(np.log(rate / (1 - rate)))
     mean, square = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, ROUNDS + 1):
-        score = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, w[column], count), -30, 30)))
-        wrong = (score - labels) / count
-        change = np.bincount(c_row, c_sign * w[c_column], count)
-        slope = np.bincount(column, wrong[row], size) + 2 * COUNTERFACTUAL / count * np.bincount(c_column, c_sign * change[c_row], size)
-        slope = np.append(slope, wrong.sum())
+        slope = np.zeros(size + 1)
+        for number, (row, column, c_row, c_column, c_sign) in enumerate(blocks):
+            own = labels[number * BLOCK_TEXTS : (number + 1) * BLOCK_TEXTS]
+            score = 1 / (1 + np.exp(-np.clip(bias + np.bincount(row, w[column], len(own)), -30, 30)))
+            wrong = (score - own) / count
+            change = np.bincount(c_row, c_sign * w[c_column], len(own))
+            slope[:-1] += np.bincount(column, wrong[row], size)
+            slope[:-1] += 2 * COUNTERFACTUAL / count * np.bincount(c_column, c_sign * change[c_row], size)
+            slope[-1] += wrong.sum()
         mean = 0.9 * mean + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
         pace = RATE * min(1.0, 3 * (1 - step / (ROUNDS + 1))) / (np.sqrt(square / (1 - 0.999**step)) + 1e-6)
@@ -105,6 +104,21 @@ def learn(labels: np.ndarray, texts: list[np.ndarray], others: list[np.ndarray |
     return bias, weights
 
 
+def _block(texts: list[np.ndarray], others: list[np.ndarray | None], place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows and columns of some texts' features, and of x - x' with signs where a group is named."""
+
+    def cells(parts: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        columns = place[np.concatenate([part for _, part in parts] or [np.empty(0, np.int32)])]
+        rows = np.repeat(np.array([i for i, _ in parts], np.int32), [len(part) for _, part in parts])
+        return rows[columns >= 0], columns[columns >= 0]
+
+    named = [(i, text, other) for i, (text, other) in enumerate(zip(texts, others, strict=True)) if other is not None]
+    gone = cells([(i, np.setdiff1d(text, other)) for i, text, other in named])
+    come = cells([(i, np.setdiff1d(other, text)) for i, text, other in named])
+    signs = np.repeat([1.0, -1.0], [len(gone[0]), len(come[0])])
+    return *cells(list(enumerate(texts))), np.concatenate([gone[0], come[0]]), np.concatenate([gone[1], come[1]]), signs
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[float, np.ndarray]:
     """Learn from documents that are not held out; ``labels`` has doc_id and toxic."""
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
