@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tachyline.llm import decontamination, language, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, urls
 from tachyline.llm.common import read
+from tachyline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from tachyline.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,4 +81,3 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
