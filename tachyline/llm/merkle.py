@@ -28,7 +28,7 @@ from tachyline.session import stage
 PIECE = 160
 SHORT = 8
 SECTION_BREAK = "\n[ \t]*\n"
-LOWEST = -(1 << 63)
+KEY = ["named", "at", "hash"]
 
 
 def tree(text: Column) -> Column:
@@ -95,25 +95,24 @@ def edited_pieces(one: Column, other: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
+    """Texts under a key: whether there is an id, the id (or 0), and the hash of the text."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text")).select(
-        "doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("at"), F.xxhash64("text").alias("hash"), "text"
-    )
+    doc_id = docs["doc_id"].cast("long")
+    return docs.select(doc_id.isNotNull().alias("named"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("at"), F.xxhash64(text).alias("hash"), text.alias("text"))
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(at, hash, size, next_at, next_hash) for every different document of ``keyed`` rows."""
+    """KEY, size and next (a struct of KEY) for every different document of ``keyed`` rows."""
     spark = docs.sparkSession
-    keys = docs.groupBy("at", "hash").agg(F.max(F.length("text")).alias("size"))
-    ranges = stage(keys.repartitionByRange("at", "hash").withColumn("part", F.spark_partition_id()), "ranges")
+    keys = docs.groupBy(*KEY).agg(F.max(F.length("text")).alias("size"))
+    ranges = stage(keys.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()), "ranges")
     # One row per partition of the step before.
-    firsts = sorted(tuple(row) for row in ranges.groupBy("part").agg(F.min(F.struct("at", "hash")).alias("first")).select("part", "first.at", "first.hash").collect())
-    following = spark.createDataFrame(
-        [(part, *firsts[(i + 1) % len(firsts)][1:]) for i, (part, _, _) in enumerate(firsts)], "part int, first_at long, first_hash long"
-    )
-    in_range = Window.partitionBy("part").orderBy("at", "hash")
-    chained = ranges.withColumn("next", F.lead(F.struct("at", "hash")).over(in_range)).join(F.broadcast(following), "part")
-    return chained.select("at", "hash", "size", F.coalesce("next.at", "first_at").alias("next_at"), F.coalesce("next.hash", "first_hash").alias("next_hash"))
+    firsts = sorted(tuple(row) for row in ranges.groupBy("part").agg(F.min(F.struct(*KEY)).alias("first")).select("part", "first.*").collect())
+    following = [(part, firsts[(i + 1) % len(firsts)][1:]) for i, (part, *_) in enumerate(firsts)]
+    following = spark.createDataFrame(following, "part int, first struct<named: boolean, at: long, hash: long>")
+    in_range = Window.partitionBy("part").orderBy(*KEY)
+    chained = ranges.withColumn("next", F.lead(F.struct(*KEY)).over(in_range)).join(F.broadcast(following), "part")
+    return chained.select(*KEY, "size", F.coalesce("next", "first").alias("next"))
 
 
 def compare_with_edited(docs: DataFrame) -> DataFrame:
@@ -122,19 +121,17 @@ def compare_with_edited(docs: DataFrame) -> DataFrame:
     The edited text has its last quarter replaced by as much of the next document's beginning.
     """
     rows = keyed(docs)
-    chain = successors(rows).select(
-        F.col("at").alias("to_at"), F.col("hash").alias("to_hash"), F.floor(F.col("size") / 4).cast("int").alias("quarter"), F.col("next_at").alias("at"), F.col("next_hash").alias("hash")
-    )
-    met = rows.select("at", "hash", "text").join(chain, ["at", "hash"])
-    heads = met.select(F.col("to_at").alias("at"), F.col("to_hash").alias("hash"), F.col("text").substr(F.lit(1), F.col("quarter")).alias("head"), leaves(tree(F.col("text"))).alias("next_leaves"))
-    heads = heads.dropDuplicates(["at", "hash"])
-    found = rows.join(heads, ["at", "hash"])
+    chain = successors(rows).select(F.struct(*KEY).alias("to"), F.floor(F.col("size") / 4).cast("int").alias("quarter"), "next.*")
+    # Both joins read the same exchange of texts.
+    met = rows.join(chain, KEY)
+    heads = met.select("to.*", F.col("text").substr(F.lit(1), F.col("quarter")).alias("head"), leaves(tree(F.col("text"))).alias("next_leaves"))
+    found = rows.join(heads.dropDuplicates(KEY), KEY)
     size = F.length("text")
     found = found.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), size - F.floor(size / 4).cast("int")), "head"))
     found = found.withColumn("tree", tree(F.col("text"))).withColumn("edited_tree", tree(F.col("edited")))
     found = found.withColumn("leaves", leaves(F.col("tree"))).withColumn("edited_leaves", leaves(F.col("edited_tree")))
     return found.select(
-        "doc_id",
+        F.when(F.col("named"), F.col("at")).alias("doc_id"),
         size.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("tree")).alias("fingerprint"),

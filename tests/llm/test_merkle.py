@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tachyline.llm import merkle
 
-SCHEMA = "doc_id long, text string, hash string, at int"
+SCHEMA = "doc_id long, text string, hash string, at string"
 
 
 def sha(text: str) -> str:
@@ -47,7 +47,7 @@ TEXTS = ["a b c\nd e f", "", "one\n\ntwo\n \nthree", "x" * 1000, "é😀" * 300
 
 
 def test_edge_texts(spark):
-    rows = [(i, t or None, "h", 1) for i, t in enumerate(TEXTS)]
+    rows = [(i, t or None, "h", "1") for i, t in enumerate(TEXTS)]
     got = merkle.compare_with_edited(spark.createDataFrame(rows[::-1], SCHEMA)).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in got] == plain(TEXTS)
 
@@ -61,13 +61,13 @@ def test_whole_table(spark):
 
 def test_repeated_rows_null_ids_and_small_tables(spark):
     assert merkle.compare_with_edited(spark.createDataFrame([], SCHEMA)).count() == 0
-    alone = merkle.compare_with_edited(spark.createDataFrame([(5, "a text of its own", "", 0)], SCHEMA)).collect()
+    alone = merkle.compare_with_edited(spark.createDataFrame([(5, "a text of its own", "", "0")], SCHEMA)).collect()
     assert tuple(alone[0])[1:] == plain(["a text of its own"])[0]
-    rows = [(None, "first of all", "", 0), (2, "twice there", "", 0), (2, "twice there", "", 0), (9, "the last one", "", 0)]
+    rows = [(None, "first of all", "", "0"), (2, "twice there", "", "0"), (2, "twice there", "", "0"), (9, "the last one", "", "0")]
     got = merkle.compare_with_edited(spark.createDataFrame(rows, SCHEMA)).collect()
     want = plain(["first of all", "twice there", "the last one"])
     assert sorted((r["doc_id"] or 0, *tuple(r)[1:]) for r in got) == [(0, *want[0]), (2, *want[1]), (2, *want[1]), (9, *want[2])]
-    same_id = spark.createDataFrame([(1, "here", "", 0), (1, "there", "", 0)], SCHEMA)
+    same_id = spark.createDataFrame([(1, "here", "", "0"), (1, "there", "", "0")], SCHEMA)
     assert merkle.compare_with_edited(same_id).count() == 2
 
 
