@@ -179,6 +179,12 @@ FROM smoothed""".format(
     display=rounded("display_score", 6), risk=rounded("1 + (score / 25) * (score / 25)", 6)
 )
 
+_COMMANDS = """
+SELECT CAST(user_id AS VARCHAR) AS simulation_id, event_id AS step,
+       CASE WHEN event_id % 3 = 0 AND value IS NOT NULL THEN greatest(0, least(1, value / 50)) END AS pedal,
+       CASE WHEN event_id % 5 = 0 AND value IS NOT NULL THEN greatest(0, least(1, 1 - value / 50)) END AS brake
+FROM events"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -384,6 +390,53 @@ SELECT 'driver.command' AS event_type, CAST(event_id AS VARCHAR) AS event_id,
 FROM events""",
         "event_routing": "SELECT event_id, user_id, event_type, props AS payload FROM events WHERE event_type = 'purchase' AND props IS NOT NULL",
         "control_clamp": f"SELECT event_id, CASE WHEN event_id % 7 <> 0 AND value IS NOT NULL THEN {rounded('greatest(0, least(1, (value - 10) / 50))', 9)} END AS control FROM events",
+        "control_targets_held": f"""
+SELECT simulation_id, step, {rounded("last_value(pedal IGNORE NULLS) OVER " + _SO_FAR, 9)} AS pedal_target,
+       {rounded("last_value(brake IGNORE NULLS) OVER " + _SO_FAR, 9)} AS brake_target
+FROM ({_COMMANDS})""",
+        "command_messages": f"""
+SELECT simulation_id AS key, 'driver.command' AS event_type, {rounded("pedal", 9)} AS pedal, {rounded("brake", 9)} AS brake
+FROM ({_COMMANDS})""",
+        "coaching_text_ties": with_tables(
+            """
+SELECT simulation_id, step,
+       printf('STATUS: %s' || chr(10) || 'AI LOAD: %d%%' || chr(10) || 'WEAR RATE: %.1fx', 'OPTIMAL', CAST(trunc(score) AS BIGINT),
+              1 + (score / 25) * (score / 25)) AS display_text,
+       printf('[AI] NORMAL | AGG: %.1f%% | RISK: %.1fx', score / 2, 1 + (score / 50) * (score / 50)) AS log_line
+FROM (SELECT simulation_id, step, speed_kmh / 8 AS score FROM telemetry)""",
+            "telemetry",
+        ),
+        "slow_ema_carried": with_tables(
+            f"""
+SELECT a.simulation_id, a.step,
+       {rounded("any_value(CAST(a.simulation_id AS DOUBLE)) / 64 * power(CAST(0.994 AS DOUBLE), a.step + 1) + sum(0.006 * power(CAST(0.994 AS DOUBLE), a.step - b.step) * b.oil_temp_c)", 6)} AS oil_lagged
+FROM telemetry a JOIN telemetry b ON a.simulation_id = b.simulation_id AND b.step <= a.step
+GROUP BY a.simulation_id, a.step""",
+            "telemetry",
+        ),
+        "long_lane_running": with_tables(
+            f"""
+SELECT simulation_id, step, row_number() OVER ({_W}) AS session_ticks,
+       {rounded(f"avg(speed_kmh) OVER {_SO_FAR}", 6)} AS avg_speed_kmh,
+       {rounded(f"avg(fuel_rate_lph) OVER {_SO_FAR}", 3)} AS avg_fuel_lph
+FROM telemetry""",
+            "telemetry",
+        ),
+        "long_lane_framed": with_tables(
+            "SELECT simulation_id, step, steady_rate AS future_wear_rate FROM base", "base"
+        ),
+        "long_lane_smoothed": with_tables(
+            f"""
+SELECT a.simulation_id, a.step,
+       {rounded("15 * power(CAST(0.994 AS DOUBLE), a.step + 1) + sum(0.006 * power(CAST(0.994 AS DOUBLE), a.step - b.step) * b.oil_temp_c)", 6)} AS oil_lagged
+FROM telemetry a JOIN telemetry b ON a.simulation_id = b.simulation_id AND b.step <= a.step
+GROUP BY a.simulation_id, a.step""",
+            "telemetry",
+        ),
+        "stream_latest_state": with_tables(
+            f"SELECT {_FLAT} FROM telemetry QUALIFY row_number() OVER (PARTITION BY simulation_id ORDER BY step DESC) = 1",
+            "telemetry",
+        ),
         "default_fill": with_tables(
             """
 SELECT simulation_id, step, coalesce(engine_rpm, 0) AS engine_rpm, coalesce(speed_kmh, 0) AS speed_kmh,

@@ -22,7 +22,7 @@ from tachyline.schemas import (
 )
 from tachyline.session import fresh_path, settings, stage
 from tachyline.sources import streams
-from tachyline.sources.recorded import telemetry
+from checks.recorded import telemetry
 from tachyline.sources.tables import read_bronze, read_silver, read_table, write_gold, write_silver
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
@@ -513,6 +513,76 @@ def control_clamp(spark, directory):
     return table(spark, directory, "events").select("event_id", steady_round(given, 9).alias("control"))
 
 
+def _commands(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as commands of their user; pedal and brake are often not given."""
+    number = F.col("event_id")
+    return table(spark, directory, "events").select(
+        F.col("user_id").cast("string").alias("simulation_id"),
+        number.alias("step"),
+        events.clamp_unit(F.when(number % 3 == 0, F.col("value") / 50)).alias("pedal"),
+        events.clamp_unit(F.when(number % 5 == 0, 1 - F.col("value") / 50)).alias("brake"),
+    )
+
+
+@query
+def control_targets_held(spark, directory):
+    held = Lanes.of(_commands(spark, directory)).map(sessions.held_controls).union()
+    return rounded(held, {"pedal_target": 9, "brake_target": 9}).select("simulation_id", "step", "pedal_target", "brake_target")
+
+
+@query
+def command_messages(spark, directory):
+    """Commands as messages, keyed by simulation, and what a listener reads from them."""
+    rows = _commands(spark, directory).select("simulation_id", F.col("pedal").alias("throttle"), "brake", "step")
+    sent = streams.command_messages(rows.drop("step"))
+    read = sent.select("key", F.from_json("value", COMMAND_EVENT_SCHEMA).alias("e"))
+    targets = read.select("key", "e.event_type", "e.payload.pedal", "e.payload.brake")
+    return rounded(targets, {"pedal": 9, "brake": 9})
+
+
+@query
+def coaching_text_ties(spark, directory):
+    """Texts at exact ties of their last digit, as 1.25, which go to the even digit."""
+    score = F.col("speed_kmh") / 8
+    shown = telemetry(spark, directory).union().select("simulation_id", "step", score.alias("score"))
+    texts = shown.withColumns(driving.coaching(F.col("score"))).withColumn("log_line", driving.prediction_log(F.lit("normal"), F.col("score") / 2))
+    return texts.select("simulation_id", "step", "display_text", "log_line")
+
+
+@query
+def slow_ema_carried(spark, directory):
+    """Smoothing that starts from a value of its own in every simulation."""
+
+    def lagged(df: DataFrame, lane) -> DataFrame:
+        started = F.col("simulation_id").cast("double") / 64
+        return sessions.smoothed(df, F.col("oil_temp_c"), "oil_lagged", lane, weight=0.006, initial=started)
+
+    made = telemetry(spark, directory).map(lagged).union()
+    return rounded(made, {"oil_lagged": 6}).select("simulation_id", "step", "oil_lagged")
+
+
+# Settings that send every simulation through the block-wise lane.
+LONG_LANE = {"spark__tachyline__longKeyRows": "100", "spark__tachyline__blockRows": "320"}
+
+
+@query
+def long_lane_running(spark, directory):
+    with settings(spark, **LONG_LANE):
+        return session_running_avg(spark, directory)
+
+
+@query
+def long_lane_framed(spark, directory):
+    with settings(spark, **LONG_LANE):
+        return future_wear_rate(spark, directory)
+
+
+@query
+def long_lane_smoothed(spark, directory):
+    with settings(spark, **LONG_LANE):
+        return slow_ema(spark, directory)
+
+
 @query
 def default_fill(spark, directory):
     rows = telemetry(spark, directory, extended=True).union()
@@ -683,6 +753,18 @@ def stream_session_stats(spark, directory):
     return rounded(live_streams.current_rows(spark, path), {"avg_speed_kmh": 6, "avg_fuel_lph": 3})
 
 
+@query
+def stream_latest_state(spark, directory):
+    stream = as_stream(telemetry(spark, directory).union(), "state-samples")
+
+    def run(path: str, log: str) -> None:
+        live_streams.update_table(live_streams.latest_states(stream), path, log, True).awaitTermination()
+
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "latest-state", run)
+    return live_streams.current_rows(spark, path)
+
+
 @query
 def stream_history(spark, directory):
     stream = as_stream(telemetry(spark, directory).union(), "history-samples")

@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tachyline.functions.numbers import one_decimal
 from tachyline.schemas import AGGRESSIVE, NORMAL
 
 # Nominal and red-line engine speed, coaching limits.
@@ -44,19 +45,19 @@ def coaching(score: Column) -> dict[str, Column]:
         "status_name": status,
         "wear_factor": risk,
         "display_text": F.format_string(
-            "STATUS: %s\nAI LOAD: %d%%\nWEAR RATE: %.1fx", status, score.cast("int"), risk
+            "STATUS: %s\nAI LOAD: %d%%\nWEAR RATE: %.1fx", status, score.cast("int"), one_decimal(risk)
         ),
     }
 
 
 def prediction_log(label: Column, score: Column) -> Column:
     return F.format_string(
-        "[AI] %s | AGG: %.1f%% | RISK: %.1fx", F.upper(label), score, wear_factor(score)
+        "[AI] %s | AGG: %.1f%% | RISK: %.1fx", F.upper(label), one_decimal(score), one_decimal(wear_factor(score))
     )
 
 
 def warmup_text(progress_pct: Column) -> Column:
-    return F.format_string("AI is warming up...\nProgress: %.0f%%", progress_pct)
+    return F.format_string("AI is warming up...\nProgress: %.0f%%", F.bround(progress_pct, 0))
 
 
 def rpm_zone(rpm: Column, redline: float = REDLINE_RPM) -> Column:

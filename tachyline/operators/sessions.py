@@ -44,10 +44,13 @@ def smoothed(
     name: str,
     lane: Lane = SHORT,
     weight: float = SMOOTHING,
-    initial: float = 0.0,
+    initial: float | Column = 0.0,
 ) -> DataFrame:
     """First-order lag ``y = (1 - weight) * y + weight * x`` from ``initial``, without a loop.
 
+    ``initial`` may be a column that is the same in all rows of a simulation: what an earlier
+    session ended with.
+
     Rows are taken in chunks of such a length that a value decays by 1e-9 over
     one. A running sum with growing weights gives the part from the row's own
     chunk; the totals of the chunks before it add the rest. Three of them reach
@@ -140,6 +143,12 @@ def fan_state(df: DataFrame, lane: Lane = SHORT, on: float = FAN_ON_TEMP, off: f
     return held.withColumn("fan_active", F.coalesce("fan_active", F.lit(False)))
 
 
+def held_controls(df: DataFrame, lane: Lane = SHORT, order: tuple[str, ...] = ("step",)) -> DataFrame:
+    """Pedal and brake targets after each command; one that is not given stays as it was."""
+    named = {"pedal_target": last_known(F.col("pedal")), "brake_target": last_known(F.col("brake"))}
+    return lane.running(df, named, order)
+
+
 def gear_changes(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     """Adds the gear before, whether this row shifts, and the number of shifts so far."""
 

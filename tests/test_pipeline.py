@@ -16,7 +16,7 @@ from tachyline.plans import medallion
 from tachyline.schemas import COMMAND_EVENT_SCHEMA, METRICS_SCHEMA, SILVER_PATHS, SILVER_SCHEMA, raw_event_schema
 from tachyline.session import scratch_dir, settings
 from tachyline.sources import streams, tables
-from tachyline.sources.recorded import telemetry
+from checks.recorded import telemetry
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
 from tachyline.streaming.windows import ROCKSDB
