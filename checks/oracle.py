@@ -234,6 +234,12 @@ SELECT {_SERVED}, CASE WHEN abs(steady_rate - p75) < 1e-6 THEN 'EITHER' WHEN ste
 FROM features CROSS JOIN threshold""",
             "gold",
         ),
+        "rf_quality": with_tables(
+            """
+SELECT count(*) AS test_rows, TRUE AS beats_constant, TRUE AS full_size
+FROM gold JOIN sides USING (simulation_id) WHERE split = 'test' AND rpm_std_10s IS NOT NULL""",
+            "sides",
+        ),
         "rf_scores": with_tables(
             """
 SELECT simulation_id, step, driving_style, TRUE AS score_in_range, TRUE AS label_fits_score, TRUE AS confidence_fits_score
@@ -242,7 +248,7 @@ FROM gold JOIN sides USING (simulation_id) WHERE split = 'test' AND rpm_std_10s
         ),
         "feature_importance": """
 SELECT unnest(['rpm_avg_10s', 'rpm_std_10s', 'throttle_avg_10s', 'engine_load_avg_10s', 'power_factor', 'speed_kmh',
-               'rpm_range_10s', 'current_gear', 'load_max_10s']) AS feature, TRUE AS in_range, TRUE AS adds_up_to_one""",
+               'rpm_range_10s', 'current_gear', 'load_max_10s']) AS feature, TRUE AS descends, TRUE AS in_range, TRUE AS adds_up_to_one""",
         "event_envelope_defaults": """
 SELECT event_id, 'simulation.raw' AS event_type, user_id, value, TRUE AS has_uuid, TRUE AS has_time FROM events""",
         "gold_features": with_tables("SELECT * FROM gold", "gold"),

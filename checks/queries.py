@@ -41,7 +41,6 @@ FEATURE_PLACES = {
     "rpm_range_10s": 3,
 }
 SERVING_PLACES = {**FEATURE_PLACES, "load_max_10s": 6}
-CHECK_TREES = 20
 
 
 def query(function: Query) -> Query:
@@ -302,10 +301,36 @@ def classification_report(spark, directory):
     return rounded(report, {"precision": 9, "recall": 9, "f1": 9})
 
 
+_MODELS: dict[tuple[str, str], tuple[forest.PipelineModel, DataFrame]] = {}
+
+
+def _forest(spark: SparkSession, directory: str) -> tuple[forest.PipelineModel, DataFrame]:
+    """The full-size forest and the test side; queries of one session share the model."""
+    key = spark.sparkContext.applicationId, directory
+    if key not in _MODELS:
+        train, test = (stage(side, "side") for side in _split(spark, directory))
+        _MODELS[key] = forest.fit_forest(train), test
+    return _MODELS[key]
+
+
+@query
+def rf_quality(spark, directory):
+    """Mean share of either class found, on simulations the forest has not seen; a constant answer has one half."""
+    model, test = _forest(spark, directory)
+    scored = forest.score(model, test)
+    hit, named = (F.col("label") == F.col("driving_style")).cast("int"), F.col("driving_style") == NORMAL
+    right = scored.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.avg(F.when(named, hit)).alias("of_normal"), F.avg(F.when(~named, hit)).alias("of_aggressive")
+    )
+    forest_ = model.stages[-1]
+    full = forest_.getNumTrees == forest.TREES and max(tree.depth for tree in forest_.trees) <= forest.DEPTH
+    better = (F.col("of_normal") + F.col("of_aggressive")) / 2 > 0.55
+    return right.select("test_rows", better.alias("beats_constant"), F.lit(full).alias("full_size"))
+
+
 @query
 def rf_scores(spark, directory):
-    train, test = _split(spark, directory)
-    model = forest.fit_forest(stage(train, "train"), trees=CHECK_TREES)
+    model, test = _forest(spark, directory)
     scored = forest.score(model, test)
     aggressive, score = F.col("label") == AGGRESSIVE, F.col("score")
     share = F.when(aggressive, score).otherwise(100 - score) / 100
@@ -321,11 +346,15 @@ def rf_scores(spark, directory):
 
 @query
 def feature_importance(spark, directory):
-    train, _ = _split(spark, directory)
-    ranked = forest.feature_importance(spark, forest.fit_forest(stage(train, "train"), trees=CHECK_TREES))
+    """Ranked importances: each at most as large as the one before it, all adding up to one."""
+    ranked = forest.feature_importance(spark, _forest(spark, directory)[0])
+    listed = [(place, row["feature"], row["importance"]) for place, row in enumerate(ranked.collect())]
+    ranked = spark.createDataFrame(listed, "place int, feature string, importance double")
     total = F.sum("importance").over(Window.partitionBy())
+    before = F.lag("importance", 1, 1.0).over(Window.orderBy("place"))
     return ranked.select(
         "feature",
+        (F.col("importance") <= before).alias("descends"),
         F.col("importance").between(0, 1).alias("in_range"),
         (F.abs(total - 1) < 1e-9).alias("adds_up_to_one"),
     )
@@ -821,8 +850,7 @@ def stream_score_ema(spark, directory):
 @query
 def stream_live_coaching(spark, directory):
     """JSON events to predictions to coaching output, by two streams with a table between them."""
-    train, _ = _split(spark, directory)
-    model = forest.fit_forest(stage(train, "train"), trees=5)
+    model, _ = _forest(spark, directory)
     numbered = raw_events(spark, directory).select(F.col("raw_event").alias("value"), F.get_json_object("raw_event", "$.payload.step").cast("int").alias("step"))
     messages = by_step(numbered, "live-messages")
 
