@@ -11,9 +11,9 @@ The cutoff is calibrated on URLs the models have not seen: the training URLs are
 halves by a hash, the models of one half score the other, and the cutoff is where the mean
 error rate of both classes is lowest.
 
-All training URLs count. Contexts and n-grams are hashed into ``BUCKETS`` counts per model;
-tasks send the counts they have, sums are taken block by block, and what is broadcast is
-16 MB whatever the input.
+All training URLs count, exactly: an n-gram of at most six bytes and its order are one 64-bit
+number, and the counts are a table that grows with the input. URLs are scored in blocks; each
+block joins its distinct contexts and n-grams to the table.
 
 A NULL or empty URL, and one without "://", has neither host nor path, and no rule fits.
 Where one of the classes has no URLs there is nothing to compare, and such URLs are allowed,
@@ -23,18 +23,21 @@ matter.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tachyline.session import stage
+
 ORDER = 5
 BUCKETS = 1 << 20
-BLOCK = 1 << 13
+BLOCK_URLS = 1 << 12  # URLs scored together
+BLOCK_CHARS = 1 << 18
 PULL = 0.5  # how many occurrences the shorter context counts for
 BINS = 1024
 WIDEST = 4.0  # scores beyond +-WIDEST fall into the outermost bins
@@ -89,13 +92,15 @@ class Grams:
         begin = ends - self.lengths
         place = np.arange(len(owner)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths) + begin[owner]
         self.owner = owner
-        self.levels = []
+        self.levels = list(self._names(joined, place))
+
+    def _names(self, joined: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         context = np.zeros(len(place), np.uint32)
         last = joined[place] * np.uint32(FACTORS[0])
         for order in range(ORDER + 1):
             if order:
                 context = context + joined[place - order] * np.uint32(FACTORS[order])
-            self.levels.append((_bucket(context, 2 * order), _bucket(context + last, 2 * order + 1)))
+            yield _bucket(context, 2 * order), _bucket(context + last, 2 * order + 1)
 
     def counts(self) -> np.ndarray:
         return np.bincount(np.concatenate([x for level in self.levels for x in level]), minlength=BUCKETS)
@@ -116,107 +121,143 @@ def _bucket(value: np.ndarray, kind: int) -> np.ndarray:
     return (mixed % np.uint32(BUCKETS)).astype(np.int64)
 
 
-def count_tables(training: DataFrame) -> np.ndarray:
-    """Counts of shape (half, class, bucket) from rows (url, half, label)."""
-    schema = pa.schema([("table", pa.int32()), ("block", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+class ExactGrams(Grams):
+    """The same contexts and n-grams by exact number; ``levels`` are places in ``names``."""
+
+    def __init__(self, urls: list[str | None]):
+        super().__init__(urls)
+        shape = (len(self.levels), 2, len(self.owner))
+        self.names, places = np.unique(np.array(self.levels, np.int64).reshape(-1), return_inverse=True)
+        self.levels = list(places.reshape(shape))
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(np.concatenate([x for level in self.levels for x in level]), minlength=len(self.names))
+
+    def _names(self, joined: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        context = np.zeros(len(place), np.int64)
+        last = joined[place].astype(np.int64)
+        for order in range(ORDER + 1):
+            if order:
+                context = context | joined[place - order].astype(np.int64) << 8 * order
+            yield context | 2 * order << 48, context | last | (2 * order + 1) << 48
+
+
+TABLES = [f"n{half}{label}" for half in (0, 1) for label in (0, 1)]
+
+
+def count_table(training: DataFrame) -> DataFrame:
+    """(name, n00, n01, n10, n11): exact counts by half and class from rows (url, half, label)."""
+    schema = pa.schema([("name", pa.int64()), *((t, pa.int64()) for t in TABLES)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((4, BUCKETS), np.int64)
         for batch in batches:
             table = batch.column(1).to_numpy() * 2 + batch.column(2).to_numpy()
             urls = batch.column(0).to_pylist()
             for number in range(4):
                 own = np.flatnonzero(table == number)
-                for at in range(0, len(own), 4096):
-                    sums[number] += Grams([urls[i] for i in own[at : at + 4096]]).counts()
-        yield from emit(sums)
-
-    def emit(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for table in range(4):
-            blocks = sums[table].reshape(-1, BLOCK)
-            rows = [(table, b, np.flatnonzero(blocks[b])) for b in np.flatnonzero(blocks.any(axis=1)).tolist()]
-            if rows:
-                columns = [[t for t, _, _ in rows], [b for _, b, _ in rows], [p.astype(np.int32).tobytes() for _, _, p in rows], [blocks[b][p].tobytes() for _, b, p in rows]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
+                for part in parts_of([urls[i] for i in own]):
+                    grams = ExactGrams(part)
+                    zero = np.zeros(len(grams.names), np.int64)
+                    columns = [grams.counts() if n == number else zero for n in range(4)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (grams.names, *columns)], schema=schema)
+
+    made = training.mapInArrow(count, "name long, " + ", ".join(f"{t} long" for t in TABLES))
+    return stage(made.groupBy("name").agg(*(F.sum(t).alias(t) for t in TABLES)), "url-counts")
+
+
+def parts_of(urls: list[str | None]) -> Iterator[list[str | None]]:
+    """``urls`` in runs of at most ``BLOCK_URLS`` and about ``BLOCK_CHARS`` characters."""
+    begin = chars = 0
+    for at, url in enumerate(urls):
+        size = len(url or "") + 1
+        if at > begin and (at - begin >= BLOCK_URLS or chars + size > BLOCK_CHARS):
+            yield urls[begin:at]
+            begin, chars = at, 0
+        chars += size
+    if begin < len(urls):
+        yield urls[begin:]
+
+
+def scores(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` (url, which, ...) with their score: under the models of half ``which``, or of both for 2."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in parts_of(batch.column("url").to_pylist()):
+                block = pa.array([uuid.uuid4().int >> 65] * len(part), pa.int64())
+                yield pa.RecordBatch.from_arrays([block, *batch.slice(at, len(part)).columns], names=["block", *batch.schema.names])
+                at += len(part)
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                block = sums.setdefault((row["table"], row["block"]), np.zeros(BLOCK, np.int64))
-                block[np.frombuffer(row["places"], np.int32)] += np.frombuffer(row["counts"], np.int64)
-        rows = [(t, b, np.flatnonzero(block)) for (t, b), block in sums.items()]
-        if rows:
-            columns = [[t for t, _, _ in rows], [b for _, b, _ in rows], [p.astype(np.int32).tobytes() for _, _, p in rows], [sums[t, b][p].tobytes() for t, b, p in rows]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    shape = "table int, block int, places binary, counts binary"
-    tables = np.zeros((4, BUCKETS), np.float32)
-    # At most 4 * BUCKETS / BLOCK rows, 50 MB in all, however large the input.
-    for row in training.mapInArrow(count, shape).repartition("table", "block").mapInArrow(add, shape).collect():
-        tables[row["table"], row["block"] * BLOCK + np.frombuffer(row["places"], np.int32)] = np.frombuffer(row["counts"], np.int64)
-    return tables.reshape(2, 2, BUCKETS)
-
-
-def ratio(spark, tables: list[np.ndarray]):
-    """A function of (url, which): the score of ``url`` under pair ``which`` of ``tables``."""
-    sent = spark.sparkContext.broadcast(tables)
-
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for urls, which in batches:
-            out = np.zeros(len(urls))
-            for number, (rejected, accepted) in enumerate(sent.value):
-                own = np.flatnonzero(which.to_numpy() == number)
-                for at in range(0, len(own), 4096):
-                    part = own[at : at + 4096]
-                    grams = Grams([url if isinstance(url, str) else None for url in urls.iloc[part]])
-                    out[part] = grams.log_likelihood(accepted) - grams.log_likelihood(rejected)
-            yield pd.Series(out)
-
-    return scored
+            block = batch.column(0).to_numpy()
+            urls = batch.column(1).to_pylist()
+            for one in np.unique(block).tolist():
+                for part in parts_of([urls[i] for i in np.flatnonzero(block == one)]):
+                    found = ExactGrams(part).names
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), one)), pa.array(found)], names=["block", "name"])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams = ExactGrams(left.column("url").to_pylist())
+        known = np.zeros((4, len(grams.names)))
+        place = np.searchsorted(grams.names, right.column("name").to_numpy())
+        for row, table in zip(known, TABLES, strict=True):
+            row[place] = right.column(table).to_numpy()
+        known = np.concatenate([known.reshape(2, 2, -1), known.reshape(2, 2, -1).sum(axis=0)[None]])
+        which = left.column("which").to_numpy()
+        out = np.zeros(len(which))
+        for model in np.unique(which).tolist():
+            value = grams.log_likelihood(known[model, 1]) - grams.log_likelihood(known[model, 0])
+            out[which == model] = value[which == model]
+        return left.drop_columns(["block"]).append_column("score", pa.array(out))
+
+    blocks = stage(rows.mapInArrow(number, f"block long, {kinds}"), "url-blocks")
+    wanted = blocks.select("block", "url").mapInArrow(names, "block long, name long").distinct()
+    found = wanted.join(counts, "name")
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, f"{kinds}, score double")
 
 
 @dataclass
 class Model:
-    tables: np.ndarray | None  # rejected, accepted; None where a class has no URLs
+    counts: DataFrame | None  # None where a class has no URLs
     cutoff: float
 
 
 def fit(training: DataFrame) -> Model:
     """Learn from rows (url, label), label 1 for accepted URLs."""
-    spark = training.sparkSession
     halves = training.select("url", F.pmod(F.xxhash64("url"), F.lit(2)).cast("int").alias("half"), "label")
-    tables = count_tables(halves)
-    both = tables.sum(axis=0)
-    if not both.any(axis=1).all():
+    table = count_table(halves)
+    sums = table.agg(*(F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TABLES)).first()
+    if not all(sums[f"n0{label}"] + sums[f"n1{label}"] for label in (0, 1)):
         return Model(None, 0.0)
-    unseen = ratio(spark, [tables[1], tables[0]])
-    place = F.floor((unseen("url", "half") + WIDEST) * (BINS / (2 * WIDEST)))
+    # The models of one half score the other.
+    unseen = scores(halves.select("url", (1 - F.col("half")).alias("which"), "label"), table)
+    place = F.floor((F.col("score") + WIDEST) * (BINS / (2 * WIDEST)))
     place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), place)).cast("int")
     # At most 2 * BINS rows.
     counts = np.zeros((2, BINS))
-    for label, bin_, count in halves.select("label", place.alias("bin")).groupBy("label", "bin").count().collect():
+    for label, bin_, count in unseen.select("label", place.alias("bin")).groupBy("label", "bin").count().collect():
         counts[label, bin_] = count
     shares = counts / counts.sum(axis=1, keepdims=True)
     below = np.concatenate([np.zeros((2, 1)), np.cumsum(shares, axis=1)], axis=1)
     error = below[1] + 1 - below[0]  # accepted below the cutoff, rejected above it
     best = np.flatnonzero(error <= error.min() + 1e-12)
-    return Model(both, float(best[len(best) // 2]) * 2 * WIDEST / BINS - WIDEST)
+    return Model(table, float(best[len(best) // 2]) * 2 * WIDEST / BINS - WIDEST)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict and score (NULL where a rule decides) of every page."""
     url = pages["url"].cast("string")
-    parsed = pages.select(pages["page_id"], url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
-    parsed = parsed.withColumn("fitting", fitting_rule(F.col("host"), F.col("path"), rules))
+    fitting = fitting_rule(host_of(url), path_of(url), rules)
+    parsed = pages.select(pages["page_id"], url.alias("url"), fitting.alias("fitting"))
     model = fit(parsed.where("fitting IS NOT NULL").select("url", (F.col("fitting.verdict") == "allow").cast("int").alias("label")))
-    blank = F.coalesce(F.length("url"), F.lit(0)) == 0
-    if model.tables is None:
-        score = F.lit(None).cast("double")
-    else:
-        scored = ratio(pages.sparkSession, [model.tables])
-        score = F.when(F.col("fitting").isNull() & ~blank, scored("url", F.when(F.col("fitting").isNull(), 0).otherwise(-1)))
-    found = parsed.withColumn("score", score)
+    open_ = F.col("fitting").isNull() & (F.coalesce(F.length("url"), F.lit(0)) > 0)
+    found = parsed.select("page_id", "url", "fitting.name", "fitting.verdict", F.lit(None).cast("double").alias("score"))
+    if model.counts is not None:
+        scored = scores(parsed.where(open_).select("page_id", "url", F.lit(2).alias("which")), model.counts)
+        unruled = scored.select("page_id", "url", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("verdict"), "score")
+        found = parsed.where(~open_).select("page_id", "url", "fitting.name", "fitting.verdict", F.lit(None).cast("double").alias("score")).union(unruled)
     by_model = F.when(F.col("score") < model.cutoff, "block").otherwise("allow")
-    return found.select("page_id", "host", "path", F.col("fitting.name").alias("rule"), F.coalesce("fitting.verdict", by_model).alias("verdict"), "score")
+    return found.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("name").alias("rule"), F.coalesce("verdict", by_model).alias("verdict"), "score")

@@ -89,3 +89,20 @@ def test_unseen_urls_are_told_apart(spark):
     rows += [(3000 + i, f"http://{word('vwxyz')}.net/it/{word('vwxyz')}", "", "") for i in range(50)]
     got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, SCHEMA), URL_RULES).collect()}
     assert all(got[2000 + i] == "allow" and got[3000 + i] == "block" for i in range(50))
+
+
+def test_counts_are_exact_beyond_the_former_table(spark):
+    """More different n-grams than 2**20: each count is that of its own n-gram."""
+    rng = np.random.default_rng(3)
+    known = ["http://" + bytes(rng.integers(97, 123, 60).astype(np.uint8)).decode() + ".com/" for _ in range(12_000)]
+    rows = [(url, i % 2, i // 2 % 2) for i, url in enumerate(known)]
+    table = urls.count_table(spark.createDataFrame(rows, "url string, half int, label int"))
+    assert table.count() > 1 << 20
+    want = {}
+    for url, half, label in rows:
+        data = b"\x02" * 5 + url.encode() + b"\x03"
+        for at in range(5, len(data)):
+            name = int.from_bytes(data[at - 5 : at + 1], "big") | 11 << 48
+            want.setdefault(name, [0, 0, 0, 0])[half * 2 + label] += 1
+    got = {r[0]: list(r[1:]) for r in table.where(f"name >= {11 << 48}").collect()}
+    assert got == want
