@@ -4,7 +4,7 @@ None for SimHash (no XXH64), tokens (no tokenizer), and everything a model score
 tests compare with plain Python, whole encodings or held-out labels.
 """
 
-from tachyline.llm import decontamination, merkle, secret_scan
+from tachyline.llm import decontamination, divergence, merkle, secret_scan, vector_codes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -126,8 +126,83 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)"""
 
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+_SHARE = f"1 + ({divergence.UNIT}::HUGEINT * ({{}} + {divergence.PRIOR})) // ({{}} + {divergence.PRIOR} * size)"
+SOURCES = f"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS number, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS terms FROM documents),
+words AS MATERIALIZED (SELECT number, lang, source, unnest(terms) AS term FROM docs),
+kept AS MATERIALIZED (
+    SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT number) >= {divergence.LEAST_DOCS}),
+langs AS (
+    SELECT lang, count(term) AS size, coalesce(sum(lang_n), 0) AS lang_total
+    FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups_ AS MATERIALIZED (
+    SELECT lang, source, size, lang_total, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM docs)
+    JOIN langs USING (lang) LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS MATERIALIZED (
+    SELECT lang, source, term, coalesce(n, 0) AS n, {_SHARE.format("coalesce(n, 0)", "total")} AS p, {_SHARE.format("lang_n", "lang_total")} AS q
+    FROM groups_ JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+sums AS (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+found AS (
+    SELECT * FROM pairs UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def _assigned(step: int) -> str:
+    """Each part's nearest entry after ``step`` rounds: the distance and the entry in one number."""
+    distance = "list_dot_product(x, x) - 2 * list_dot_product(x, e) + list_dot_product(e, e)"
+    return f"""
+near{step} AS MATERIALIZED (
+    SELECT place, part, any_value(x) AS x, min(CAST({distance} AS BIGINT) * {vector_codes.ENTRIES} + entry) AS best
+    FROM cut JOIN book{step} USING (part) GROUP BY place, part)"""
+
+
+def _moved(step: int) -> str:
+    """The entries after the next round: floors of means, or the old ones where nothing was assigned."""
+    return f"""
+sums{step} AS (
+    SELECT part, best % {vector_codes.ENTRIES} AS entry, spot, CAST(sum(x[spot]) AS BIGINT) AS total, count(*) AS n
+    FROM near{step}, LATERAL unnest(range(1, len(x) + 1)) AS places(spot) GROUP BY ALL),
+means{step} AS (
+    SELECT part, entry, list(CAST((total - (total % n + n) % n) // n AS DOUBLE) ORDER BY spot) AS e FROM sums{step} GROUP BY part, entry),
+book{step + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m.e, b.e) AS e FROM book{step} b LEFT JOIN means{step} m USING (part, entry))"""
+
+
+_STEPS = ",".join(f"{_assigned(step)},{_moved(step)}" for step in range(vector_codes.ROUNDS)) + f",{_assigned(vector_codes.ROUNDS)}"
+CODED = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS place, vec_id, label,
+           list_transform(embedding, lambda x: floor({vector_codes.SCALE} * CAST(x AS DOUBLE))) AS whole
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+    SELECT place, part, whole[part * len(whole) // {vector_codes.PARTS} + 1:(part + 1) * len(whole) // {vector_codes.PARTS}] AS x
+    FROM kept, LATERAL unnest(range({vector_codes.PARTS})) AS parts(part)),
+book0 AS MATERIALIZED (SELECT part, place - 1 AS entry, x AS e FROM cut WHERE place <= {vector_codes.ENTRIES}),{_STEPS},
+codes AS (
+    SELECT place, string_agg(format('{{:02x}}', best % {vector_codes.ENTRIES}), '' ORDER BY part) AS code, CAST(sum(best // {vector_codes.ENTRIES}) AS BIGINT) AS error
+    FROM near{vector_codes.ROUNDS} GROUP BY place),
+books AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM book{vector_codes.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (place), books"""
+
 ORACLE_SQL = {
     "op2_merkle": MERKLE,
     "op3_secret_scan": SECRETS,
     "op10_decontamination": BENCHMARK_HITS,
+    "op11_divergence": SOURCES,
+    "op12_vector_codes": CODED,
 }

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tachyline.llm import decontamination, language, merkle, packing, quality, secret_scan, simhash, token_files, toxicity, urls
+from tachyline.llm import decontamination, divergence, language, merkle, packing, quality, secret_scan, simhash, token_counts, token_files, toxicity, urls, vector_codes
 from tachyline.llm.common import read
 from tachyline.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from tachyline.session import fresh_path
@@ -69,6 +69,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digests(found)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(*vector_codes.compress(read(spark, sf_dir, "embeddings")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digests(token_counts.prefix_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")), limit=4096)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_merkle": op2_merkle,
@@ -80,4 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_divergence": op11_divergence,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_counts": op13_token_counts,
 }
