@@ -162,6 +162,16 @@ SELECT count(*) AS total_rows,
        CAST(sum(CAST(NOT is_valid AS INTEGER)) AS BIGINT) AS invalid_rows,
        'silver_telemetry' AS dataset
 FROM checked"""
+_COUNTS = """count(*) AS total_rows, count(*) FILTER (WHERE is_null_violation) AS null_violations,
+       count(*) FILTER (WHERE is_range_violation) AS range_violations, count(*) FILTER (WHERE NOT is_valid) AS invalid_rows"""
+_SENT = "SELECT *, to_timestamp(1704067200 + step) AS sent_at FROM checked"
+_TRIPS = """
+SELECT simulation_id, CAST(trip AS BIGINT) AS trip, min(ts) AS started, max(ts) AS ended, count(*) AS samples, max(value) AS most
+FROM (SELECT *, sum(starts) OVER (PARTITION BY simulation_id ORDER BY ts, value ROWS UNBOUNDED PRECEDING) AS trip
+      FROM (SELECT CAST(user_id AS VARCHAR) AS simulation_id, CAST(ts AS TIMESTAMPTZ) AS ts, value,
+                   CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, value) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts
+            FROM events))
+GROUP BY simulation_id, trip"""
 _HISTORY = """
 SELECT simulation_id, step, simulation_time AS t, coalesce(engine_rpm, 0) AS rpm, coalesce(current_gear, 0) AS gear,
        coalesce(speed_kmh, 0) AS speed_kmh
@@ -485,7 +495,7 @@ FROM checked WHERE is_valid IS NOT NULL GROUP BY 1, 2""",
         "stream_serving_features_gaps": with_tables(
             f"""
 SELECT {_SERVED} FROM (
-    SELECT simulation_id, step, speed_kmh, current_gear, buffered, max_step,
+    SELECT simulation_id, step, speed_kmh, current_gear, buffered,
            {rounded(f"avg(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_avg_10s,
            {rounded(f"stddev_samp(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_std_10s,
            {rounded(f"avg(throttle) OVER {_BUFFER}", 6)} AS throttle_avg_10s,
@@ -493,12 +503,38 @@ SELECT {_SERVED} FROM (
            {rounded("engine_rpm * load", 3)} AS power_factor,
            {rounded(f"max(engine_rpm) OVER {_BUFFER} - min(engine_rpm) OVER {_BUFFER}", 3)} AS rpm_range_10s,
            {rounded(f"max(load) OVER {_BUFFER}", 6)} AS load_max_10s
-    FROM (SELECT *, count(*) OVER {_BUFFER} AS buffered, max(step) OVER (PARTITION BY simulation_id) AS max_step
-          FROM live WHERE step % 2 = 0)
-) WHERE buffered = 300 AND step <= max_step - 256""",
+    FROM (SELECT *, count(*) OVER {_BUFFER} AS buffered
+          FROM live WHERE step % 3 <> 2)
+) WHERE buffered = 300""",
             "live",
         ),
         "stream_score_ema": with_tables(_SMOOTHED, "smoothed"),
+        "stream_deduplicated": "SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, value FROM events",
+        "stream_silver_merged": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
+        "stream_dq_per_minute": with_tables(
+            f"""
+SELECT time_bucket(INTERVAL 1 MINUTE, sent_at) AS window_start, time_bucket(INTERVAL 1 MINUTE, sent_at) + INTERVAL 1 MINUTE AS window_end, {_COUNTS}
+FROM ({_SENT}) GROUP BY 1, 2""",
+            "checked",
+        ),
+        "dq_sliding": with_tables(
+            f"""
+SELECT window_start, window_start + INTERVAL 2 MINUTE AS window_end, {_COUNTS}
+FROM ({_SENT}), LATERAL unnest(range(4)) AS shifts(i),
+     LATERAL (SELECT time_bucket(INTERVAL 30 SECOND, sent_at) - i * INTERVAL 30 SECOND AS window_start)
+GROUP BY 1, 2""",
+            "checked",
+        ),
+        "trips_by_pause": f"SELECT simulation_id, trip, started, ended, samples, most, lane FROM ({_TRIPS}), (VALUES ('short'), ('long')) AS lanes(lane)",
+        "stream_trips": f"SELECT simulation_id, started, ended, samples, most FROM ({_TRIPS})",
+        "stream_chained_coaching": with_tables(
+            """
+SELECT simulation_id, step,
+       CASE WHEN buffered < 300 THEN printf('AI is warming up...' || chr(10) || 'Progress: %.0f%%', CAST(buffered AS DOUBLE) / 300 * 100) END AS warmup_text,
+       TRUE AS score_in_range, TRUE AS display_fits, TRUE AS tier_fits
+FROM buffered WHERE step % 10 = 0""",
+            "buffered",
+        ),
         "stream_live_coaching": with_tables(
             "SELECT simulation_id, step, TRUE AS score_in_range, TRUE AS display_fits, TRUE AS tier_fits FROM scored", "scored"
         ),

@@ -26,7 +26,6 @@ from checks.recorded import telemetry
 from tachyline.sources.tables import read_bronze, read_silver, read_table, write_gold, write_silver
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
-from tachyline.streaming.windows import PATIENCE_STEPS as WAITING_STEPS
 from tachyline.streaming.windows import ROCKSDB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -628,13 +627,13 @@ def as_stream(df: DataFrame, name: str) -> DataFrame:
 STEP_SPAN = 80
 
 
-def by_step(df: DataFrame, name: str, step: str = "step") -> DataFrame:
-    """The rows of ``df`` as a live stream: ``STEP_SPAN`` steps after the other, in no order among them."""
+def by_step(df: DataFrame, name: str, step: str = "step", span: int = STEP_SPAN, files: int = 3) -> DataFrame:
+    """The rows of ``df`` as a live stream: ``span`` steps after the other, in no order among them."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     rows = stage(df, name)
-    for start in range(0, rows.agg(F.max(step)).first()[0] + 1, STEP_SPAN):
-        rows.where(F.col(step).between(start, start + STEP_SPAN - 1)).repartition(1).write.mode("append").parquet(path)
-    return streams.file_stream(spark, path, rows.schema, max_files=3)
+    for start in range(0, rows.agg(F.max(step)).first()[0] + 1, span):
+        rows.where(F.col(step).between(start, start + span - 1)).repartition(1).write.mode("append").parquet(path)
+    return streams.file_stream(spark, path, rows.schema, max_files=files)
 
 
 def streamed(spark: SparkSession, name: str, run: Callable[[str, str], None]) -> str:
@@ -818,8 +817,8 @@ def stream_serving_features(spark, directory):
 
 @query
 def stream_serving_features_gaps(spark, directory):
-    """Every second step never comes: windows still hold 300 rows."""
-    samples = serving.live_samples(telemetry(spark, directory).union()).where("step % 2 = 0")
+    """Every third step never comes: windows still hold 300 rows, and a closing pass adds the end of each simulation."""
+    samples = serving.live_samples(telemetry(spark, directory).union()).where("step % 3 <> 2")
     stream = by_step(samples, "gapped-samples")
 
     def run(path: str, log: str) -> None:
@@ -827,10 +826,8 @@ def stream_serving_features_gaps(spark, directory):
 
     with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
         path = streamed(spark, "serving-gaps", run)
-    # The last rows of a simulation wait for a successor or for the timer of a running stream.
-    last = samples.groupBy("simulation_id").agg((F.max("step") - WAITING_STEPS).alias("last"))
-    made = spark.read.parquet(path).join(last, "simulation_id").where("step <= last").drop("last")
-    return rounded(made, SERVING_PLACES)
+        closing = stage(serving.closing_features(spark, f"{path}.checkpoint"), "closing-features")
+    return rounded(spark.read.parquet(path).unionByName(closing), SERVING_PLACES)
 
 
 @query
@@ -872,3 +869,145 @@ def stream_live_coaching(spark, directory):
         (shown.between(0, 100) & (shown >= score * 0.3 - 1e-9)).alias("display_fits"),
         ((F.col("status_name") == "DANGER") == (score > 70)).alias("tier_fits"),
     )
+
+
+@query
+def stream_chained_coaching(spark, directory):
+    """JSON events to coaching output by one query of two stateful operators, neutral rows while the buffer fills."""
+    model, _ = _forest(spark, directory)
+    numbered = raw_events(spark, directory).select(F.col("raw_event").alias("value"), F.get_json_object("raw_event", "$.payload.step").cast("int").alias("step"))
+    messages = by_step(numbered, "chained-messages")
+
+    def run(path: str, log: str) -> None:
+        serving.start_live_coaching(messages, model, path, log, True).awaitTermination()
+
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "chained", run)
+    score, shown, full = F.col("score"), F.col("display_score"), F.col("progress_pct") >= 100
+    return spark.read.parquet(path).select(
+        "simulation_id",
+        "step",
+        F.when(~full, F.col("display_text")).alias("warmup_text"),
+        (score.between(0, 100) & (full | (score == 0))).alias("score_in_range"),
+        (shown.between(0, 100) & (shown >= score * 0.3 - 1e-9)).alias("display_fits"),
+        ((F.col("status_name") == "DANGER") == (score > 70)).alias("tier_fits"),
+    )
+
+
+def timed_bronze(spark: SparkSession, directory: str) -> DataFrame:
+    """Bronze rows of the recorded telemetry whose events are sent a second after the other; ``step`` beside them."""
+    sent = F.col("step").cast("double") + 1_704_067_200
+    name = F.concat_ws("-", "simulation_id", F.col("step").cast("string"))
+    event = events.telemetry_event(SILVER_PATHS, event_id=name, timestamp=sent)
+    meta = [F.lit(None).cast("timestamp").alias("kafka_ts"), F.lit(0).cast("long").alias("partition"), F.lit(0).cast("long").alias("offset")]
+    return telemetry(spark, directory).union().select(*meta, F.to_json(event).alias("raw_event"), "step")
+
+
+def with_repeats(rows: DataFrame, step: str, share: int = 3) -> DataFrame:
+    """Every ``share``-th row is delivered again, one span of steps later."""
+    again = rows.where(F.pmod(F.xxhash64("raw_event"), F.lit(share)) == 0).withColumn(step, F.col(step) + STEP_SPAN)
+    return rows.unionByName(again)
+
+
+@query
+def stream_deduplicated(spark, directory):
+    """Events as a stream in which a third comes again in a later micro-batch."""
+    event = events.envelope(
+        "simulation.raw", F.struct("user_id", "value"), F.col("event_id").cast("string"), F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    )
+    rows = table(spark, directory, "events")
+    bronze = rows.select(
+        F.col("ts").cast("timestamp").alias("kafka_ts"),
+        F.lit(0).cast("long").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.to_json(event).alias("raw_event"),
+        (F.floor(F.col("event_id") * 8 / rows.count()) * STEP_SPAN).cast("int").alias("step"),
+    )
+    stream = by_step(with_repeats(bronze, "step"), "redelivered", files=1)
+
+    def run(path: str, log: str) -> None:
+        streams.append_json(ingest.deduplicated_events(stream.drop("step"), "10 days"), path, log, True).awaitTermination()
+
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "deduplicated", run)
+    kind = "event_id string, payload struct<user_id: long, value: double>"
+    return read_bronze(spark, path).select(F.from_json("raw_event", kind).alias("e")).select("e.event_id", "e.payload.user_id", "e.payload.value")
+
+
+@query
+def stream_silver_merged(spark, directory):
+    """Silver from a stream that is stopped, started again and given a batch it has applied; steps overlap."""
+    rows = timed_bronze(spark, directory)
+    source, root = fresh_path(spark, "merged-events"), fresh_path(spark, "merged")
+    tables_ = [f"{root}/{part}" for part in ("silver", "quarantine", "metrics")]
+    for low, high in ((0, 250), (200, 450), (400, 10**6)):
+        part = rows.where(F.col("step").between(low, high)).drop("step")
+        part.repartition(2).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, part.schema, max_files=1)
+        ingest.merge_stream(stream, *tables_, f"{root}/log", bounded=True).awaitTermination()
+    last = spark.read.parquet(f"{tables_[0]}.applied").first()
+    if ingest.merge_batch(rows.drop("step").limit(0), last["batch_id"], last["query_id"], *tables_, False, "hashed"):
+        raise ValueError("a batch was applied twice")
+    return read_silver(spark, tables_[0]).drop("processed_at")
+
+
+@query
+def stream_dq_per_minute(spark, directory):
+    """Quality counts per minute of event time, closed by the watermark or still open in the state; copies count once."""
+    rows = with_repeats(timed_bronze(spark, directory), "step")
+    stream = by_step(rows, "timed-events").drop("step")
+
+    def run(path: str, log: str) -> None:
+        ingest.start_window_metrics(stream, path, log, bounded=True, delay="8 minutes").awaitTermination()
+
+    with settings(spark, **ROCKSDB, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "dq-minutes", run)
+        still_open = stage(ingest.open_windows(spark, f"{path}.checkpoint"), "open-windows")
+    return spark.read.parquet(path).drop("batch_id").unionByName(still_open)
+
+
+@query
+def dq_sliding(spark, directory):
+    """Quality counts over two minutes, every thirty seconds."""
+    parsed = quality.parse_events(timed_bronze(spark, directory))
+    timed = parsed.withColumn("sent_at", F.timestamp_seconds("parsed.timestamp"))
+    return quality.metrics_per_window(quality.check_quality(quality.flatten_events(timed, also=("sent_at",))), "sent_at", "2 minutes", "30 seconds")
+
+
+TRIP_PAUSE_HOURS = 6
+
+
+def trip_samples(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as samples of their user."""
+    return table(spark, directory, "events").select(
+        F.col("user_id").cast("string").alias("simulation_id"), F.col("ts").cast("timestamp").alias("ts"), "value"
+    )
+
+
+@query
+def trips_by_pause(spark, directory):
+    """Trips of the users' events, in either lane."""
+    timed = trip_samples(spark, directory).select("simulation_id", F.unix_micros("ts").alias("at"), "value")
+    found = []
+    for conf in ({}, {"spark__tachyline__longKeyRows": "10", "spark__tachyline__blockRows": "16"}):
+        with settings(spark, **conf):
+            found.append(stage(Lanes.of(timed).map(lambda df, lane: sessions.trips(df, TRIP_PAUSE_HOURS * 3600, lane)).union(), "trips"))
+    lanes = [df.withColumn("lane", F.lit(name)) for name, df in zip(("short", "long"), found, strict=True)]
+    return lanes[0].unionByName(lanes[1])
+
+
+@query
+def stream_trips(spark, directory):
+    """The same trips by session windows over a stream; a sample of nobody, a year later, closes the last ones."""
+    samples = trip_samples(spark, directory).withColumn("step", F.floor(F.unix_seconds("ts") / 86_400).cast("int") - 19_723)
+    end = samples.agg((F.max("ts") + F.expr("INTERVAL 365 DAYS")).alias("ts"), (F.max("step") + STEP_SPAN).alias("step"))
+    samples = samples.unionByName(end.select(F.lit(None).cast("string").alias("simulation_id"), "ts", F.lit(0.0).alias("value"), "step"))
+    stream = by_step(samples, "trip-samples", span=4, files=1).drop("step")
+
+    def run(path: str, log: str) -> None:
+        trips = live_streams.paused_trips(stream, f"{TRIP_PAUSE_HOURS} hours", "5 days")
+        streams.append_parquet(trips, path, log, True).awaitTermination()
+
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        path = streamed(spark, "trips", run)
+    return spark.read.parquet(path).where("simulation_id IS NOT NULL")

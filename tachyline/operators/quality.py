@@ -27,11 +27,12 @@ def parse_events(df: DataFrame, extended: bool = False) -> DataFrame:
     return df.withColumn("parsed", F.from_json("raw_event", raw_event_schema(extended)))
 
 
-def flatten_events(df: DataFrame, extended: bool = False, keep_raw: bool = False) -> DataFrame:
+def flatten_events(df: DataFrame, extended: bool = False, keep_raw: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
+    """The fields of ``parsed`` as columns; ``also`` names columns that are kept beside them."""
     paths = {**SILVER_PATHS, **EXTENDED_PATHS} if extended else SILVER_PATHS
     fields = [F.col(f"parsed.payload.{path}").alias(name) for name, path in paths.items()]
     raw = [F.col("raw_event")] if keep_raw else []
-    return df.select(*fields, F.current_timestamp().alias("processed_at"), *raw)
+    return df.select(*fields, F.current_timestamp().alias("processed_at"), *raw, *also)
 
 
 def check_quality(df: DataFrame) -> DataFrame:
@@ -68,6 +69,16 @@ def quality_metrics(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count(F.lit(1)).alias("total_rows"), *counts).select("*", *stamped)
 
 
+def metrics_per_window(checked: DataFrame, time: str, size: str = "1 minute", slide: str | None = None) -> DataFrame:
+    """The same counts per window of event time, tumbling or sliding; rows without a time are in none.
+
+    Batch or stream: a stream needs a watermark on ``time``, which closes windows and frees their state.
+    """
+    counts = [F.expr(f"coalesce(sum(int({condition})), 0L)").alias(name) for name, condition in COUNTED.items()]
+    counted = checked.groupBy(F.window(time, size, slide or size)).agg(F.count(F.lit(1)).alias("total_rows"), *counts)
+    return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "total_rows", *COUNTED)
+
+
 def undetermined_count(checked: DataFrame) -> DataFrame:
     """How many rows are in neither table."""
     return checked.groupBy().agg((F.count("*") - F.count("is_valid")).alias("undetermined_rows"))

@@ -107,7 +107,7 @@ def history(df: DataFrame, rows: int = SERVING_ROWS) -> DataFrame:
     return last_samples(df, rows).select(
         "simulation_id",
         "step",
-        F.col("simulation_time").alias("t"),
+        F.coalesce("simulation_time", F.lit(0.0)).alias("t"),
         F.coalesce("engine_rpm", F.lit(0.0)).alias("rpm"),
         F.coalesce("current_gear", F.lit(0)).alias("gear"),
         F.coalesce("speed_kmh", F.lit(0.0)).alias("speed_kmh"),
@@ -130,7 +130,8 @@ def throttle_rate(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     def rate(w: WindowSpec) -> dict[str, Column]:
         moved = F.col("throttle") - F.lag("throttle").over(w)
         passed = F.col("simulation_time") - F.lag("simulation_time").over(w)
-        return {"throttle_change_rate": moved / F.greatest(passed, F.lit(SHORTEST_TICK))}
+        # Without both times there is no rate; ``greatest`` alone would skip a missing one.
+        return {"throttle_change_rate": F.when(passed.isNotNull(), moved / F.greatest(passed, F.lit(SHORTEST_TICK)))}
 
     return lane.framed(df, rate, before=1)
 
@@ -182,6 +183,28 @@ def gear_dwell(df: DataFrame, lane: Lane = SHORT) -> DataFrame:
     )
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def trips(df: DataFrame, pause_seconds: float, lane: Lane = SHORT) -> DataFrame:
+    """Trips of each simulation: samples with less than the pause between neighbours.
+
+    ``df`` has ``at`` (microseconds) and ``value``; samples without a time belong to no trip.
+    ``trip`` counts from 1. A simulation of any length is cut into blocks, unlike session windows.
+    """
+    pause = int(pause_seconds * 1e6)
+
+    def starts(w: WindowSpec) -> dict[str, Column]:
+        return {"starts": F.coalesce(F.col("at") - F.lag("at").over(w) >= pause, F.lit(True))}
+
+    timed = df.where(F.col("at").isNotNull()).select("simulation_id", "at", "value")
+    numbered = lane.settle(lane.running(timed, {"place": row_count()}, order=("at", "value"), block_rows=DAY_MICROS))
+    marked = lane.settle(lane.framed(numbered, starts, before=1, order=("place",), index="place"))
+    placed = lane.running(marked, {"trip": running_sum(F.col("starts").cast("long"))}, order=("place",))
+    ends = [F.timestamp_micros(F.min("at")).alias("started"), F.timestamp_micros(F.max("at")).alias("ended")]
+    return placed.groupBy("simulation_id", "trip").agg(*ends, F.count(F.lit(1)).alias("samples"), F.max("value").alias("most"))
+
+
 def zone_time(df: DataFrame, redline: float = driving.REDLINE_RPM, tick: float = 0.1) -> DataFrame:
     """Rows and seconds each session spends in every gauge zone."""
     zone = driving.rpm_zone(F.col("engine_rpm"), redline)

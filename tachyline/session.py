@@ -66,6 +66,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return remembered
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -81,3 +86,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage`` for the length of a block, which must finish all jobs on the table: it is removed afterwards.
+
+    For jobs that run again and again, such as micro-batches.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.mode("error").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
