@@ -10,8 +10,9 @@ by shard and holds one shard at a time. Only one total per partition reaches the
 from which the shards' global starts follow.
 
 Empty and NULL texts consist of the end token. Documents with one id keep their place next
-to each other, ordered by text. A document longer than a shard has a shard of its own.
-Documents with a NULL id come first.
+to each other, ordered by a hash of the text and then the text; the ranges are cut by id and
+hash, so many rows with one id, or without an id, are not one task. A document longer than a
+shard has a shard of its own. Documents with a NULL id come first.
 """
 
 from collections.abc import Iterator
@@ -107,7 +108,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, s
         if keys:
             yield shard()
 
-    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    hashed = id_and_text(docs).withColumn("place", F.xxhash64("text"))
+    ordered = hashed.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place", "text").drop("place")
     ordered.mapInArrow(write, SHARDS).write.mode("error").parquet(path)
 
 

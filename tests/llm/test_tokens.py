@@ -15,6 +15,7 @@ SCHEMA = "doc_id long, text string, start string, bucket string"
 TEXTS = [
     None, "", " \n\t ", "One", "Don't x'sy %'s <|endoftext|>a<|startoftext|>b", "ÀÉ́ é ﬁ Σας İx 12ab!?'re “q”.", "a b c\x1cx ''ll'd ́a", "日本語 text😀s 's",
     "word " * 30_000, "x" * 20_000, "ß ÿ × ÷ Ǆ", "tab\tend\r\nline",
+    "<|EndOfText|> A, B. c!? x,y It'S it's; k: K. É, Z <|endoftext|>W.",
 ]
 
 
