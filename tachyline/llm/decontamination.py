@@ -13,7 +13,10 @@ window. No scan depends on another shard: there is no shuffle, and a lost task r
 rereads its own shards. Documents longer than a shard are cut into overlapping sections, in
 which every window of the text lies whole. The benchmark travels to the shards in blocks of
 bounded size; a larger benchmark makes more passes over the stored index, each with a
-broadcast no larger than the first.
+broadcast of its own. The results of ``TOGETHER`` blocks are staged and their broadcasts removed
+before the next are sent.
+Equal windows of a block are searched and located once, whoever owns them, so the places held
+are no more than the words of a shard for each length of window.
 
 NULL and empty texts have no words, no hits and are not contaminated. An item with a NULL
 text or no word is never found. Repeated documents are each reported, repeated items
@@ -24,10 +27,12 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +45,8 @@ BLOCK_WORDS = 1 << 20
 SAMPLE = 16
 # Bytes that are no part of a word become blanks, A-Z becomes a-z.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+TOGETHER = 4  # blocks of the benchmark whose results are staged at once
+EMIT = 1 << 16  # names of items in a batch of results, beyond which the next one begins
 INDEX = "sections binary, words binary, size int, levels int, bits binary, starts binary, marks binary, sampled binary"
 FOUND = "row long, doc_id long, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
 
@@ -284,10 +291,8 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), ends[last].tolist(), strict=True))
 
 
-def search_index(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int = WINDOW_WORDS) -> DataFrame:
-    """Per section of a document: merged word spans of all occurrences and the items found."""
-    words = sorted({word for _, part in items for word in part})
-    number = {word: i for i, word in enumerate(words)}
+def windows_of(items: list[tuple[str, list[bytes]]], number: dict[bytes, int], window: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By length: the distinct windows, where the owners of each begin, and the owners."""
     sizes: defaultdict[int, list[tuple[np.ndarray, int]]] = defaultdict(list)
     for i, (_, part) in enumerate(items):
         ids = np.array([number[word] for word in part], np.int32)
@@ -295,9 +300,17 @@ def search_index(index: DataFrame, items: list[tuple[str, list[bytes]]], window:
         sizes[size].append((np.lib.stride_tricks.sliding_window_view(ids, size), i))
     windows = {}
     for size, found in sizes.items():
-        rows = np.concatenate([rows for rows, _ in found])
         owner = np.repeat([i for _, i in found], [len(rows) for rows, _ in found])
-        windows[size] = (rows, owner)
+        rows, name = np.unique(np.concatenate([rows for rows, _ in found]), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([name.ravel(), owner], axis=1), axis=0)
+        windows[size] = (rows, np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1)), pairs[:, 1])
+    return windows
+
+
+def search_index(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int = WINDOW_WORDS) -> tuple[DataFrame, Broadcast]:
+    """Per section of a document: merged word spans of all occurrences and the items found; and what was sent."""
+    words = sorted({word for _, part in items for word in part})
+    windows = windows_of(items, {word: i for i, word in enumerate(words)}, window)
     sent = index.sparkSession.sparkContext.broadcast((words, windows, [name for name, _ in items]))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
@@ -306,36 +319,49 @@ def search_index(index: DataFrame, items: list[tuple[str, list[bytes]]], window:
         words, windows, names = sent.value
         for batch in batches:
             for row in batch.to_pylist():
-                yield hits_of(row, words, windows, names)
+                yield from hits_of(row, words, windows, names)
 
-    def hits_of(row: dict, words: list[bytes], windows: dict, names: list[str]) -> pa.RecordBatch:
+    def hits_of(row: dict, words: list[bytes], windows: dict, names: list[str]) -> Iterator[pa.RecordBatch]:
         sections = pa.ipc.open_stream(row["sections"]).read_all()
         first = sections["first"].to_numpy()
         begins = np.concatenate([[0], np.cumsum(sections["length"].to_numpy() + 1)[:-1]])
         index = FmIndex(row)
         symbol = np.array([index.symbols.get(word, -1) for word in words], np.int64)
-        at, length, owner = [], [], []
-        for size, (rows, item) in windows.items():
+        at, length, which = [], [], []
+        for size, (rows, _, _) in windows.items():
             found, low, high = index.ranges(symbol[rows]) if len(symbol) else (np.empty(0, int),) * 3
             times = high - low
             at.append(index.locate(np.repeat(low, times) + ragged(times)))
-            owner.append(np.repeat(item[found], times))
+            which.append(np.repeat(found, times))
             length.append(np.full(len(at[-1]), size))
-        at, length, owner = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, length, owner))
+        at, length, which = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, length, which))
         section = np.searchsorted(begins, at, side="right") - 1
-        spans: list[list] = [[] for _ in range(len(begins))]
-        items: list[list] = [[] for _ in range(len(begins))]
         order = np.argsort(section, kind="stable")
-        edges = np.flatnonzero(np.diff(section[order])) + 1
-        for group in np.split(order, edges) if len(order) else []:
-            s = section[group[0]]
+        edges = np.searchsorted(section[order], np.arange(len(begins) + 1))
+        spans: list[list] = []
+        items: list[list] = []
+        done = named = 0
+        for s in range(len(begins)):
+            group = order[edges[s] : edges[s + 1]]
             begin = at[group] - begins[s] + first[s]
-            spans[s] = [{"start": b, "end": e} for b, e in merged(begin, begin + length[group])]
-            items[s] = sorted({names[i] for i in np.unique(owner[group])})
-        columns = [*(sections[name].combine_chunks().cast(pa.int64()) for name in ("row", "doc_id", "n_words")), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return index.mapInArrow(search, FOUND)
+            spans.append([{"start": b, "end": e} for b, e in merged(begin, begin + length[group])] if len(group) else [])
+            items.append(owners(windows, names, length[group], which[group]))
+            named += len(items[-1])
+            if named >= EMIT or s == len(begins) - 1:
+                columns = [sections[name].combine_chunks().cast(pa.int64())[done : s + 1] for name in ("row", "doc_id", "n_words")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span), pa.array(items, pa.list_(pa.string()))], schema=schema)
+                spans, items, done, named = [], [], s + 1, 0
+
+    def owners(windows: dict, names: list[str], length: np.ndarray, which: np.ndarray) -> list[str]:
+        """The items that own the windows found in a section."""
+        found = set()
+        for size in np.unique(length):
+            _, begin, owner = windows[size]
+            for w in np.unique(which[length == size]):
+                found.update(owner[begin[w] : begin[w + 1]].tolist())
+        return sorted({names[i] for i in found})
+
+    return index.mapInArrow(search, FOUND), sent
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -345,8 +371,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     """
     index = stage(build_index(docs, shard_words, window), "fm-index")
     found = None
-    for block in benchmark_blocks(benchmark, block_words, window):
-        part = search_index(index, block, window)
+    for blocks in batched(benchmark_blocks(benchmark, block_words, window), TOGETHER):
+        searches = [search_index(index, block, window) for block in blocks]
+        part = stage(reduce(DataFrame.unionByName, [rows for rows, _ in searches]), "benchmark-hits")
+        for _, sent in searches:
+            sent.destroy()
         found = part if found is None else found.unionByName(part)
     by_document = found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
@@ -384,7 +413,13 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, unchanged; rows without an id stay too."""
-    found = contamination(docs, benchmark)
+    """The documents that are not contaminated, unchanged.
+
+    Each row is judged by its own text, with or without an id: the operator gets a hash of
+    both as the id. That the hash of a clean row equals one of a contaminated row has a
+    chance of one in 2**64 for each such pair of rows.
+    """
+    key = F.xxhash64(docs["doc_id"].cast("string"), docs["text"].cast("string"))
+    found = contamination(docs.select(key.alias("doc_id"), docs["text"]), benchmark)
     bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(bad.select(F.col("doc_id").alias(" key")), key == F.col(" key"), "left_anti").select(docs.columns)

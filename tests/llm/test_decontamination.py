@@ -92,6 +92,24 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     table = spark.createDataFrame(rows, DOCS)
     assert dc.contamination(table, bench).count() == 5
     kept = dc.keep_clean(table, bench)
-    assert kept.columns == table.columns and sorted(str(r["doc_id"]) for r in kept.where("doc_id is null or doc_id = 6").collect()) == ["None", "None"]
+    judged = plain([r[1] for r in rows], items)
+    want = [str(tuple(row)) for row, hit in zip(rows, judged, strict=True) if not hit[4]]
+    assert kept.columns == table.columns and sorted(str(tuple(r)) for r in kept.collect()) == sorted(want)
     assert dc.contamination(table.limit(0), bench).count() == 0
     assert [r["n_hit"] for r in dc.contamination(table, bench.limit(0)).collect()] == [0] * 5
+
+
+def test_rows_of_one_id_are_judged_alone(spark):
+    docs, items = random_case()
+    bench = spark.createDataFrame([(i, t, "r") for i, t in items], ITEMS)
+    rows = [(5, "clean words only", "", ""), (5, items[0][1], "", ""), (None, items[0][1], "", ""), (None, None, "", "")]
+    kept = dc.keep_clean(spark.createDataFrame(rows, DOCS), bench)
+    assert sorted(str(r["text"]) for r in kept.collect()) == ["None", "clean words only"]
+
+
+def test_many_equal_short_items(spark):
+    """10,000 items of the same frequent word hold its places once."""
+    docs = [(i, "so it is " * 2000, "", "") for i in range(3)] + [(9, "none of them", "", "")]
+    bench = spark.createDataFrame([(i, "it", "r") for i in range(10_000)], ITEMS)
+    got = {r["doc_id"]: r for r in dc.digests(dc.contamination(spark.createDataFrame(docs, DOCS), bench)).collect()}
+    assert [(got[i]["n_hit"], got[i]["n_items"]) for i in (0, 1, 2, 9)] == [(2000, 10_000)] * 3 + [(0, 0)]
