@@ -95,7 +95,7 @@ hot AS (
 spans AS (
     SELECT * FROM base UNION ALL
     SELECT * FROM hot WHERE NOT EXISTS (
-        SELECT 1 FROM base WHERE base.doc_id = hot.doc_id AND base.start_ < hot.end_ AND hot.start_ < base.end_))
+        SELECT 1 FROM base WHERE base.doc_id = hot.doc_id AND base.start_ <= hot.start_ AND hot.end_ <= base.end_))
 SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
        count(*) FILTER (WHERE kind = 2) AS n_hex, sha256({_WRITTEN.format(" FILTER (WHERE kind < 3)")}) AS base_sha256,
        {_WRITTEN.format(" FILTER (WHERE kind IS NOT NULL)")} AS spans

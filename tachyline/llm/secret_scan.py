@@ -13,15 +13,18 @@ case and digits, or mixed) sets the window's width and the entropy a window must
 window moves one character at a time; counts, and the sum of c * log2(c) over them, change
 by the one character that enters and the one that leaves. A span reaches from the first to
 the last window with enough entropy. Candidates that match the allow list (placeholders,
-UUIDs, words joined by signs) or overlap a base span are left out.
+UUIDs, words joined by signs) and spans that lie inside a base span are left out; a span that
+a base span only touches or overlaps in part stays beside it.
 
 NULL and empty texts have no spans. Places count code points, ends are exclusive. Repeated
-rows are scanned each; extra columns do not matter.
+rows are scanned each; extra columns do not matter. Work grows with the length of a text and
+the number of its matches, so a run of a million letters or 20,000 spans in a text take seconds.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,30 +44,68 @@ ALLOWED = (
     "^([A-Za-z]+|[0-9]+)([-_/=+]+([A-Za-z]+|[0-9]+))+[-_/=+]*$",
 )
 REPLACEMENT = "[SECRET]"
+NONE = "@"  # a count of none; the next characters stand for 1, 2, ...
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+BLOCK = 256
+PIECE = 1024
 
 
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
-def matches(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
-    """Spans of the matches whose ``value_group`` has ``least`` characters or more."""
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def before_each(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array, what ``add`` makes of all before it; 0 at the first.
+
+    Blocks of ``BLOCK`` numbers keep the arrays that grow step by step short.
+    """
+
+    def fold(items: Column, number: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("seen"))
+        return F.aggregate(items, start, lambda done, x: F.struct(add(done["total"], number(x)).alias("total"), F.concat(done["seen"], F.array(done["total"])).alias("seen")))
+
+    def joined(blocks: Column) -> Column:
+        heads = fold(blocks, lambda block: block["total"])["seen"]
+        return F.flatten(F.zip_with(blocks, heads, lambda block, head: F.transform(block["seen"], lambda x: add(x, head))))
+
+    def blocked(numbers: Column) -> Column:
+        count = F.size(numbers)
+        starts = F.sequence(F.lit(0), count - 1, F.lit(BLOCK))
+        blocks = F.transform(starts, lambda at: fold(F.sequence(at + 1, F.least(at + BLOCK, count)), lambda place: F.element_at(numbers, place)))
+        return F.when(count > 0, bound(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+    return bound(values, blocked)
+
+
+def found_at(text: Column, pattern: str, value_group: int = 0) -> Column:
+    """Structs (start, end, hit, value) of all matches in order."""
     regex = F.lit(pattern)
     hits = F.regexp_extract_all(text, regex, 0)
     values = F.regexp_extract_all(text, regex, value_group) if value_group else hits
+    # The last gap has no match behind it.
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
 
-    def step(done: Column, x: Column) -> Column:
-        begin = done["at"] + F.length(x["gap"])
-        end = begin + F.length(x["hit"])
-        span = F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        # The last gap has no match behind it.
-        kept = x["hit"].isNotNull() & (F.length(x["value"]) >= least)
-        return F.struct(F.coalesce(end, done["at"]).alias("at"), F.when(kept, F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+    def placed(x: Column, at: Column) -> Column:
+        begin = at + F.length(x["gap"])
+        return F.struct(begin.alias("start"), (begin + F.length(x["hit"])).alias("end"), x["hit"].alias("hit"), x["value"].alias("value"))
+
+    def places(found: Column) -> Column:
+        lengths = F.transform(found, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0)))
+        return F.filter(F.zip_with(found, before_each(lengths, Column.__add__), placed), lambda x: x["hit"].isNotNull())
 
-    return F.when(text.rlike(pattern), F.aggregate(found, start, step, lambda done: done["spans"])).otherwise(no_spans())
+    return bound(found, places)
+
+
+def matches(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
+    """Spans of the matches whose ``value_group`` has ``least`` characters or more."""
+    kept = F.filter(found_at(text, pattern, value_group), lambda x: F.length(x["value"]) >= least)
+    spans = F.transform(kept, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
+    return F.when(text.rlike(pattern), spans).otherwise(no_spans())
 
 
 def hot_range(candidate: Column, width: int, least: float) -> Column:
@@ -75,53 +116,80 @@ def hot_range(candidate: Column, width: int, least: float) -> Column:
     def worth(count: Column) -> Column:
         return F.element_at(counted, count + 1)
 
+    def count_of(counts: Column, sign: Column) -> Column:
+        return F.ascii(F.substr(counts, sign + 1, F.lit(1))) - ord(NONE)
+
+    def changed(counts: Column, sign: Column, count: Column) -> Column:
+        return F.overlay(counts, F.char(count + ord(NONE)), sign + 1, 1)
+
+    # One character per sign of the alphabet holds its count, so that a step writes two of them.
     start = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("at"),
+        F.lit(NONE * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("at"),
         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
     )
 
     def slide(numbers: Column) -> Column:
-        def step(done: Column, entering: Column) -> Column:
-            at = done["at"]
-            leaving = F.when(at >= width, F.element_at(numbers, at - width + 1)).otherwise(-1)
-            gone = F.when(leaving >= 0, F.element_at(done["counts"], F.greatest(leaving, F.lit(0)) + 1)).otherwise(0)
-            come = F.element_at(done["counts"], entering + 1) - (leaving == entering).cast("int")
-            less = F.when(leaving >= 0, worth(gone) - worth(F.greatest(gone - 1, F.lit(0)))).otherwise(0.0)
-            sum_ = done["sum"] - less + worth(come + 1) - worth(come)
-            hot = (at >= width - 1) & (math.log2(width) - sum_ / width >= least)
+        def entered(done: Column, counts: Column, sum_: Column, entering: Column) -> Column:
+            at, come = done["at"], count_of(counts, entering)
+            total = sum_ + worth(come + 1) - worth(come)
+            hot = (at >= width - 1) & (math.log2(width) - total / width >= least)
             return F.struct(
-                F.transform(done["counts"], lambda count, i: count + (i == entering).cast("int") - (i == leaving).cast("int")).alias("counts"),
-                sum_.alias("sum"),
+                changed(counts, entering, come + 1).alias("counts"),
+                total.alias("sum"),
                 (at + 1).alias("at"),
                 F.when(hot & done["first"].isNull(), at - width + 1).otherwise(done["first"]).alias("first"),
                 F.when(hot, at + 1).otherwise(done["last"]).alias("last"),
             )
 
+        def left(done: Column) -> Column:
+            sign = F.element_at(numbers, done["at"] - width + 1)
+            gone = count_of(done["counts"], sign)
+            fewer = F.struct(changed(done["counts"], sign, gone - 1).alias("counts"), (done["sum"] - worth(gone) + worth(gone - 1)).alias("sum"))
+            return F.when(done["at"] >= width, fewer).otherwise(F.struct(done["counts"].alias("counts"), done["sum"].alias("sum")))
+
+        def step(done: Column, entering: Column) -> Column:
+            return bound(left(done), lambda rest: entered(done, rest["counts"], rest["sum"], entering))
+
         return F.aggregate(numbers, start, step, lambda done: F.struct(done["first"].alias("first"), done["last"].alias("last")))
 
-    return F.element_at(F.transform(F.array(number), slide), 1)
+    return bound(number, slide)
+
+
+def allowed(candidate: Column) -> Column:
+    """Whether the allow list has the candidate. Its last pattern is asked piece by piece: in a
+    run of any length Java's matcher would take one stack frame per word."""
+    words = candidate.rlike("^[A-Za-z0-9]") & candidate.rlike("[-_/=+][A-Za-z0-9]") & ~candidate.rlike("[A-Za-z][0-9]|[0-9][A-Za-z]")
+    return candidate.rlike("|".join(f"(?:{a})" for a in ALLOWED[:-1])) | words
 
 
-def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of high entropy that no base span overlaps."""
-    letters_and_digits = f"(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z]){CANDIDATE}"
+def entropy_spans(text: Column) -> Column:
+    """Spans of high entropy, before they are held against the base spans."""
 
-    def judged(span: Column) -> Column:
-        found = text.substr(span["start"] + 1, span["end"] - span["start"])
+    def judged(found: Column) -> Column:
+        hot = F.when(F.lit(False), F.struct(F.lit(0).alias("first"), F.lit(0).alias("last")))
+        for pattern, width, least in CLASSES:
+            hot = hot.when(found["hit"].rlike(f"^{pattern}$"), hot_range(found["hit"], width, least))
+        return bound(hot, lambda hot: F.struct((found["start"] + hot["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), (found["start"] + hot["last"]).alias("end")))
 
-        def ranged(candidate: Column) -> Column:
-            hot = F.when(F.lit(False), F.struct(F.lit(0).alias("first"), F.lit(0).alias("last")))
-            for pattern, width, least in CLASSES:
-                hot = hot.when(candidate.rlike(f"^{pattern}$"), hot_range(candidate, width, least))
-            allowed = candidate.rlike("|".join(f"(?:{a})" for a in ALLOWED))
-            return F.when(~allowed & candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]"), hot)
+    candidates = F.filter(found_at(text, CANDIDATE), lambda x: x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]") & ~allowed(x["hit"]))
+    spans = F.filter(F.transform(candidates, judged), lambda s: s["start"].isNotNull())
+    return F.when(text.rlike(CANDIDATE), spans).otherwise(no_spans())
 
-        hot = F.element_at(F.transform(F.array(found), ranged), 1)
-        return F.struct((span["start"] + hot["first"]).alias("start"), span["kind"].alias("kind"), (span["start"] + hot["last"]).alias("end"))
 
-    spans = F.filter(F.transform(matches(text, CANDIDATE, KINDS.index("entropy")), judged), lambda s: s["start"].isNotNull())
-    spans = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.when(text.rlike(letters_and_digits), spans).otherwise(no_spans())
+def with_entropy(base: Column, entropy: Column) -> Column:
+    """All spans by start and kind; entropy spans inside a base span are left out.
+
+    Such a base span begins no later, so it stands in front: the farthest end so far decides.
+    """
+
+    def is_base(span: Column) -> Column:
+        return span["kind"] < KINDS.index("entropy")
+
+    def kept(spans: Column) -> Column:
+        reach = before_each(F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(0)), F.greatest)
+        return F.filter(F.zip_with(spans, reach, lambda s, end: F.when(is_base(s) | (end < s["end"]), s)), lambda s: s.isNotNull())
+
+    return bound(F.array_sort(F.concat(base, entropy)), kept)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -129,7 +197,7 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select(docs["doc_id"], docs["text"].cast("string").alias("text"))
     found = found.withColumn("base", F.array_sort(F.concat(matches(text, ASSIGN, 0, 2, LEAST_VALUE), matches(text, ACCESS, 1), matches(text, HEX, 2))))
-    return found.withColumn("spans", F.array_sort(F.concat("base", entropy_spans(text, F.col("base")))))
+    return found.withColumn("spans", with_entropy(F.col("base"), entropy_spans(text)))
 
 
 def written(spans: Column) -> Column:
@@ -149,15 +217,25 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def cut_out(text: Column, spans: Column, replacement: str = REPLACEMENT) -> Column:
-    """``text`` with every span, or run of overlapping spans, replaced."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with every span, or run of overlapping spans, replaced.
+
+    What stays is taken from pieces of ``PIECE`` characters: a substring of the whole would walk through it each time.
+    """
+
+    def part(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        near = F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1)
+        return F.substr(F.array_join(near, ""), start - first * PIECE + 1, end - start)
+
+    def rebuilt(pieces: Column) -> Column:
+        def ahead(span: Column, at: Column) -> Column:
+            return F.when(span["start"] >= at, F.concat(part(pieces, at, span["start"]), F.lit(replacement))).otherwise("")
 
-    def step(done: Column, span: Column) -> Column:
-        added = F.when(span["start"] >= done["at"], F.concat(text.substr(done["at"] + 1, span["start"] - done["at"]), F.lit(replacement))).otherwise("")
-        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), F.concat(done["out"], added).alias("out"))
+        cut = F.zip_with(spans, before_each(F.transform(spans, lambda s: s["end"]), F.greatest), ahead)
+        rest = part(pieces, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+        return F.array_join(F.concat(cut, F.array(rest)), "")
 
-    rest = F.aggregate(spans, start, step, lambda done: F.concat(done["out"], text.substr(done["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    return F.when(F.size(spans) > 0, bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0), rebuilt)).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -165,7 +243,7 @@ def redact(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.array_sort(F.concat(matches(text, ASSIGN, 0, 2, LEAST_VALUE), matches(text, ACCESS, 1), matches(text, HEX, 2)))
     marked = docs.withColumn(" base", base)
-    marked = marked.withColumn(" spans", F.array_sort(F.concat(F.col(" base"), entropy_spans(text, F.col(" base")))))
+    marked = marked.withColumn(" spans", with_entropy(F.col(" base"), entropy_spans(text)))
     marked = marked.withColumn("text", cut_out(F.col("text"), F.col(" spans")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
