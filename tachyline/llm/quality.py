@@ -82,14 +82,14 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repetition(codes: np.ndarray, owner: np.ndarray, left: np.ndarray, count: int) -> np.ndarray:
-    """Share of a text's runs of 16 characters that it has had before, over a quarter of all runs, chosen by their hash."""
+    """Share of a text's runs of 16 characters that it has had before."""
     runs = codes.copy()
     for step, factor in ((1, 0x9E3779B1), (2, 0x85EBCA77), (4, 0xC2B2AE3D), (8, 0x27D4EB2F)):
         following = runs[step:].copy()
         runs *= np.uint32(factor)
         runs[: len(following)] += following
     runs ^= runs >> np.uint32(16)
-    chosen = (left >= 16) & (runs & np.uint32(3) == 0)
+    chosen = left >= 16
     key = (owner[chosen].astype(np.int64) << 32) | runs[chosen]
     key.sort()
     again = np.concatenate([[False], key[1:] == key[:-1]])[: len(key)]
