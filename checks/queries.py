@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tachyline.functions import driving, events
 from tachyline.functions.numbers import steady_round
-from tachyline.operators import evaluation, features, forest, labels, quality, sessions, split
+from tachyline.operators import evaluation, features, forest, gaps, labels, quality, sessions, split
 from tachyline.operators.lanes import Lanes
-from tachyline.plans import medallion
+from tachyline.plans import incremental, medallion
 from tachyline.schemas import (
     AGGRESSIVE,
     COMMAND_EVENT_SCHEMA,
@@ -23,7 +23,7 @@ from tachyline.schemas import (
 from tachyline.session import fresh_path, settings, stage
 from tachyline.sources import streams
 from checks.recorded import telemetry
-from tachyline.sources.tables import read_bronze, read_silver, read_table, write_gold, write_silver
+from tachyline.sources.tables import note_changes, read_bronze, read_silver, read_table, write_bucketed, write_gold, write_silver
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
 from tachyline.streaming.windows import ROCKSDB
@@ -213,6 +213,44 @@ def label_threshold_approx(spark, directory):
     return counted.select("rated_rows", held.alias("rank_within_bound"))
 
 
+@query
+def label_threshold_sketched(spark, directory):
+    """Whether the rank of the threshold from stored sketches is off by no more than a percent."""
+    found_rates = stage(rates(spark, directory).union().select("simulation_id", "future_wear_rate"), "rates")
+    sketches = stage(labels.rate_sketches(found_rates), "sketches")
+    compared = found_rates.withColumn("threshold", labels.sketched_threshold(sketches).scalar())
+    rate, found = F.col("future_wear_rate"), F.col("threshold")
+    counted = compared.agg(
+        F.count(F.lit(1)).alias("rated_rows"),
+        F.count_if(rate < found).alias("below"),
+        F.count_if(rate <= found).alias("upto"),
+    )
+    wanted, slack = F.col("rated_rows") * LABEL_QUANTILE, F.col("rated_rows") / 100 + 1
+    held = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return counted.select("rated_rows", held.alias("rank_within_bound"))
+
+
+@query
+def step_gaps(spark, directory):
+    return silver(spark, directory).map(gaps.step_gaps).union()
+
+
+@query
+def filled_steps(spark, directory):
+    names = ["engine_rpm", "speed_kmh"]
+    filled = silver(spark, directory).map(lambda df, lane: gaps.filled_steps(df, names, lane)).union()
+    return rounded(filled, {"engine_rpm": 6, "speed_kmh": 6})
+
+
+@query
+def gold_features_bucketed(spark, directory):
+    """The Gold features from a bucketed, sorted Silver table."""
+    path = fresh_path(spark, "silver-bucketed")
+    rows = write_bucketed(silver(spark, directory).union(), path.rsplit("/", 1)[1].replace("-", "_"), path)
+    made = stage(rounded(medallion.rated_features(Lanes.of(rows)), {"future_wear_rate": 12}), "rated")
+    return rounded(medallion.gold_table(made, exact=True), FEATURE_PLACES)
+
+
 @query
 def gold_features(spark, directory):
     return rounded(labelled(spark, directory), FEATURE_PLACES)
@@ -726,6 +764,20 @@ def table_gold(spark, directory):
     return rounded(read_table(spark, layout.at("gold")), FEATURE_PLACES)
 
 
+@query
+def table_gold_incremental(spark, directory):
+    """Gold after two slices of Silver: every row of some simulations, then the rest and part of the first again."""
+    layout = medallion.Layout(fresh_path(spark, "lakehouse"))
+    rows = silver(spark, directory).union().withColumn("processed_at", F.current_timestamp())
+    first = F.pmod(F.xxhash64("simulation_id"), F.lit(3)) > 0
+    for chosen in (first & (F.col("step") < 400), ~first | (F.col("step") > 300)):
+        delivered = stage(rows.where(chosen), "delivered")
+        note_changes(delivered, layout.at("silver_changes"))
+        write_silver(delivered, layout.at("silver"))
+        incremental.run_gold(spark, layout, True, lambda lanes: rounded(medallion.rated_features(lanes), {"future_wear_rate": 12}))
+    return rounded(incremental.read_folders(spark, layout.at("gold_by_simulation")), FEATURE_PLACES)
+
+
 @query
 def table_split(spark, directory):
     """Rows of the dataset, train and test tables per simulation."""

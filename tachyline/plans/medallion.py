@@ -45,6 +45,7 @@ def run_silver(
     tables.write_quarantine(quality.quarantined_rows(checked, strict), layout.at("quarantine"))
     tables.append_metrics(quality.quality_metrics(checked), layout.at("metrics"))
     valid = quality.valid_rows(checked).drop("raw_event")
+    tables.note_changes(valid, layout.at("silver_changes"))
     tables.write_silver(valid, layout.at("silver"), mode, silver_layout)
 
 
