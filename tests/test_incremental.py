@@ -1,5 +1,7 @@
 """Jobs that follow up changes, and layouts that spare exchanges."""
 
+from pathlib import Path
+
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -87,3 +89,24 @@ def test_steps_are_filled_from_both_neighbours(spark):
     assert round(added[0][2]) == 20 and round(added[1][2]) in (30, 31)
     assert got.where("NOT is_filled").count() == len(rows)
     assert gaps.filled_steps(df.limit(0), ["x"]).count() == 0
+
+
+def test_a_merge_gathers_the_rows_once(spark, tmp_path):
+    """Copies and old rows are found in the exchange that gathers the folders; unnamed old rows stay."""
+    schema = "simulation_id string, step int, speed_kmh double, __age int, simulation_bucket int"
+    both = [("a", 1, 1.0, 1, 7), ("a", 1, 2.0, 0, 7), ("a", 1, 2.0, 0, 7), ("a", 2, 3.0, 1, 7), ("a", 2, 4.0, 1, 7), ("a", None, 5.0, 1, 7), ("a", None, 6.0, 0, 7)]
+    merged = tables._newest(spark.createDataFrame(both, schema), "simulation_bucket")
+    assert plan_of(merged).count("Exchange") == 1
+    assert sorted(r["speed_kmh"] for r in merged.collect()) == [2.0, 3.0, 4.0, 5.0, 6.0]
+    layout = Layout(str(tmp_path / "lake"))
+    deliver(rows := silver(spark, SF).union().where("simulation_id = '1'").withColumn("processed_at", F.current_timestamp()), layout)
+    deliver(rows.where("step < 9").withColumn("speed_kmh", F.lit(-1.0)), layout)
+    got = tables.read_silver(spark, layout.at("silver"))
+    assert got.count() == rows.count() and got.where("speed_kmh = -1").count() == rows.where("step < 9").count() > 0
+
+
+def test_recorded_bronze_is_compressed(spark):
+    from checks.queries import lakehouse
+
+    found = list(Path(lakehouse(spark, SF).at("bronze")).glob("part-*"))
+    assert found and all(path.name.endswith(".json.gz") for path in found)
