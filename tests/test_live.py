@@ -16,7 +16,7 @@ from tachyline.session import settings
 from tachyline.sources import streams, tables
 from tachyline.streaming import ingest, serving
 from tachyline.streaming import live as live_streams
-from tachyline.streaming.windows import ROCKSDB
+from tachyline.streaming.windows import ROCKSDB, packed, unpacked
 
 BRONZE = "kafka_ts timestamp, partition long, offset long, raw_event string"
 
@@ -214,3 +214,12 @@ def test_no_rate_without_both_times(spark):
     df = spark.createDataFrame(rows, "simulation_id string, step int, throttle double, simulation_time double")
     rates = [r["throttle_change_rate"] for r in sessions.throttle_rate(df).orderBy("step").collect()]
     assert rates[:3] == [None, None, None] and abs(rates[3] - 0.1) < 1e-12
+
+
+def test_window_rows_are_one_value_of_state():
+    rows = pd.DataFrame({"step": [3, 4], "score": [0.1, None], "buffered": [300, 300]})
+    kind = serving._with(serving.SCORE, (serving.BUFFERED, serving.T.IntegerType()))
+    value = packed(rows, kind)
+    assert isinstance(value, bytes) and len(value) == 2 * 3 * 8
+    pd.testing.assert_frame_equal(unpacked(value, kind), rows)
+    assert list(unpacked(b"", kind).columns) == list(rows.columns)
