@@ -110,3 +110,23 @@ def test_recorded_bronze_is_compressed(spark):
 
     found = list(Path(lakehouse(spark, SF).at("bronze")).glob("part-*"))
     assert found and all(path.name.endswith(".json.gz") for path in found)
+
+
+def test_incremental_gold_writes_a_fixed_number_of_folders(spark, monkeypatch):
+    """Either layout of Silver gives the same Gold, in no more folders than there are buckets."""
+    monkeypatch.setattr(tables, "BUCKETS", 3)
+    rows = stage(silver(spark, SF).union().withColumn("processed_at", F.current_timestamp()), "silver-rows")
+    one = rows.orderBy("simulation_id").first()["simulation_id"]
+    golds = {}
+    for name in ("simulation", "hashed"):
+        layout = Layout(fresh_path(spark, "lakehouse"))
+        for part in (rows.where(F.col("step") < 500), rows.where(F.col("simulation_id") == one)):
+            slice_ = stage(part, "delivered")
+            tables.note_changes(slice_, layout.at("silver_changes"))
+            tables.write_silver(slice_, layout.at("silver"), layout=name)
+            incremental.run_gold(spark, layout, True, silver_layout=name)
+        for table in ("rated_by_simulation", "gold_by_simulation"):
+            assert 1 <= len(list(Path(layout.at(table)).glob("simulation_bucket=*"))) <= 3
+        golds[name] = incremental.read_folders(spark, layout.at("gold_by_simulation"))
+    left, right = golds["simulation"], golds["hashed"]
+    assert left.count() == right.count() > 0 and left.exceptAll(right).count() == 0
