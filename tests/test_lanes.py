@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tachyline.operators.lanes import KEY, SHORT, Lanes, LongLane, last_known, long_keys, row_count, running_sum
+from tachyline.operators.lanes import KEY, SHORT, Lanes, LongLane, last_known, long_keys, row_count, running_sum, spread
 from tachyline.operators.sliding import sliding
+from tachyline.session import settings
 
 
 def series(spark, seed, sizes=(1, 7, 40, 333), missing=0.2):
@@ -136,3 +137,22 @@ def test_missing_steps_and_keys_are_kept_in_the_long_lane(spark, block):
     same(LongLane(block).framed(df, change, before=2), SHORT.framed(df, change, before=2))
     lanes = Lanes.of(df, long_rows=20, block_rows=block)
     assert [part.count() for part, _ in lanes.parts] == [0, 67]
+
+
+def test_running_values_take_one_exchange_of_the_rows(spark):
+    """The totals per block have an exchange or two of their own; the rows have one, for the join and the window."""
+    df = series(spark, 2)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        plan = LongLane(16).running(df, {"n": row_count()})._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(__place_in_order#", plan)) == 2
+    assert not re.search(r"Exchange hashpartitioning\(coalesce", plan)
+    assert plan.index("Window") < plan.index("Exchange") and "Exchange" not in plan[: plan.index("SortMergeJoin")]
+
+
+def test_more_rows_are_spread_over_more_tasks(spark):
+    df = series(spark, 6)
+    assert spread(df, KEY, 381, 1_000) is df
+    wide = spread(df, KEY, 381, 10)
+    assert wide.rdd.getNumPartitions() == 39
+    plan = SHORT.running(wide, {"n": row_count()})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
