@@ -1,35 +1,42 @@
-"""Near copies by exact similarity: word shingles with a Jaccard similarity of ``SIMILAR`` or more.
-
-1. Equal texts are one node, named by their MD5.
-2. ``BANDS`` times ``BAND_ROWS`` MinHash values of a node's ``SHINGLE_WORDS``-word shingles
-   name the groups it belongs to, one per band. Two texts with similarity s share none with
-   probability (1 - s**BAND_ROWS)**BANDS: 4 in 100,000 at 0.8, fewer above. Texts that share
-   a passage but are not alike hardly meet: at 0.3 one pair in 270, at 0.2 one in 7,000.
-3. Within each group some nodes are centres, and every other node meets them. A pair goes on
-   if the sizes of the shingle sets allow the similarity (exact), if one bit of every
-   MinHash value differs in no more places than five standard deviations above what is
-   expected at ``SIMILAR``, which fails for about one similar pair in a million, and if the
-   parities allow it (exact): each shingle flips one of ``PARITY_BITS`` bits, so two texts
-   differ in at least as many shingles as parity bits. That decides nearly all pairs just below
-   the limit, unless texts are so long that they differ in more shingles than there are bits.
-   Only then the texts are joined and compared by exact similarity of the whole shingle sets.
-4. A compared centre leaves its groups; groups that hang together or have one node left are
-   finished; the others choose four times as many centres. So every pair of a group is
+"""Near copies: SimHash and the Gray-order index give pairs, exact similarity of word shingles decides.
+
+Two texts are near copies if their sets of ``SHINGLE_WORDS``-word shingles have a Jaccard similarity
+of ``SIMILAR`` or more.
+
+1. Equal texts are one node, named by their MD5 and numbered.
+2. A node has several independent SimHash fingerprints of 64 bits (``simhash.fingerprints_of``). Each
+   names a group by its first bits, so many that an even group has ``GROUP_ROWS`` nodes or fewer.
+   Two texts at the limit agree in one bit with a chance of 0.85, of which 0.84 is counted on, and
+   as many fingerprints are made as miss such a pair with a chance of ``MISSED`` or less. Their
+   number grows with the 0.24th power of the nodes; texts of few shingles are discrete, and of
+   those with four and five shingles about one similar pair in 500 is missed.
+3. Within each group a ``GrayIndex`` finds the fingerprints that differ in ``DISTANCE`` bits or
+   fewer. A pair goes on if the sizes of the shingle sets allow the similarity (exact) and if
+   further fingerprints differ in no more bits than five standard deviations above what is
+   expected at the limit. Then the texts are joined and compared by the whole shingle sets.
+4. Nodes that hang together form a part, and a search passes over its own part. Each search passes
+   on its nearest other nodes only, one at first, and a group of more than ``RUN_ROWS`` nodes is
+   searched in runs of that length, in Gray order. A group with more to pass on or more than one
+   run comes again, with four times as many, until nothing was left out: copies then hang together
+   already, and only nodes outside the largest part of a run search. So every pair found is
    compared unless its nodes already hang together, and a group of copies costs about one
-   comparison per node, whatever its size. Components are kept from round to round: a round
-   only joins the components that its own links connect. Bands are worked off in a few
-   portions: copies hang together after the first, and do not meet again in all others.
+   comparison per node, whatever its size. Rows that come again carry all fingerprints and the
+   parities: each shingle flips one of ``PARITY_BITS`` bits, so two texts differ in at least as
+   many shingles as parity bits (exact). That decides nearly all pairs just below the limit, unless
+   texts are so long that they differ in more shingles than there are bits. Fingerprints are worked
+   off in a few portions: copies hang together after the first, and do not meet again in all others.
 
 Shingles are taken from the words of the text in lower-case ASCII; a text with fewer words
 is one shingle, and texts without words, NULL among them, are copies of each other. Of each
 group of near copies the row with the smallest doc_id stays, and rows without a doc_id come
 last. Rows are judged by their own text, also where several share a doc_id; of rows with equal
-id and text one stays. Texts of any length are read whole, one at a time. Other columns are
-kept as they are, whatever their names; an empty table stays empty.
+id and text one stays. Texts of any length are read whole, one at a time; a group is held in one
+task, some 64 bytes a node. Other columns are kept as they are, whatever their names; an empty table
+stays empty.
 """
 
 from collections.abc import Iterator
-from math import ceil, sqrt
+from math import ceil, log, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,20 +46,21 @@ from pyspark.sql import functions as F
 
 from tachyline.llm.common import LOWER_ASCII
 from tachyline.llm.components import components
+from tachyline.llm.simhash import GrayIndex, fingerprints_of, gray_rank, whole_groups
 from tachyline.session import stage
 
 SEED = 42
 SHINGLE_WORDS = 5
 SIMILAR = 0.8
-BANDS, BAND_ROWS = 56, 8
-PORTIONS = [(0, 3), (3, 12), (12, BANDS)]  # bands worked off together
-VALUES = BANDS * BAND_ROWS  # a multiple of 64: one bit of each fills whole numbers
-CHUNK = 1 << 11  # shingles hashed together
-MULTIPLIERS, OFFSETS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, VALUES), np.uint32)
-MULTIPLIERS |= np.uint32(1)
-WORDS = [f"bits{i}" for i in range(VALUES // 64)]
+AGREEING = 0.84  # the chance of an equal bit that is counted on
+MISSED = 1e-4
+GROUP_ROWS = 512
+LEAST_BITS = 6
+DISTANCE = 16
+PORTIONS = (3, 12)  # fingerprints worked off together end here
+RUN_ROWS = 2048
 PARITY_BITS = 1 << 10
-PARITIES = [f"parity{i}" for i in range(PARITY_BITS // 64)]
+FIELDS = ["key", "node", "part", "size"]
 
 
 def shingles(text: bytes | None, width: int = SHINGLE_WORDS) -> set[bytes]:
@@ -70,66 +78,140 @@ def similarity(left: set[bytes], right: set[bytes]) -> float:
     return both / either if either else 1.0
 
 
-def signature(found: set[bytes]) -> tuple[list[int], list[int], list[int]]:
-    """The names of the groups of a text with these shingles, one bit of every MinHash value, and parities."""
-    wide = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found))
-    hashes = (wide >> np.uint64(32)).astype(np.uint32)
-    least = np.full(VALUES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(hashes), CHUNK):
-        mixed = hashes[at : at + CHUNK, None] * MULTIPLIERS
-        mixed += OFFSETS
-        np.minimum(least, mixed.min(axis=0), out=least)
-    rows = least.astype("<u4").reshape(BANDS, BAND_ROWS)
-    names = np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64)
-    bits = np.packbits((least >> np.uint32(5) & np.uint32(1)).astype(np.uint8))
-    flips = np.bincount((wide & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
-    parity = np.packbits((flips & 1).astype(np.uint8))
-    return tuple(numbers.view(np.int64).tolist() for numbers in (names, bits, parity))
+def tables_for(nodes: int) -> tuple[int, int]:
+    """How many first bits name a group, and how many fingerprints are needed, for so many nodes."""
+    bits = max(LEAST_BITS, ceil(log2(max(nodes, 1) / GROUP_ROWS)))
+    return bits, ceil(log(MISSED) / log(1 - AGREEING**bits))
 
 
-def most_apart(similar: float) -> int:
-    """In how many of their bits two texts may differ that are compared."""
-    share = (1 - similar) / 2
-    return ceil(VALUES * share + 5 * sqrt(VALUES * share * (1 - share)))
+def signature(found: set[bytes], tables: int = 1) -> tuple[list[int], int, list[int]]:
+    """The fingerprints, the size and the parities of a text with these shingles."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found))
+    flips = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    parity = np.packbits((flips & 1).astype(np.uint8))
+    prints = fingerprints_of(hashes, tables)
+    return prints.view(np.int64).tolist(), len(found), parity.view(np.int64).tolist()
 
 
-def differing(names: list[str]) -> Column:
-    """In how many bits the numbers ``names`` of a node and of a centre differ."""
-    return sum((F.bit_count(F.col(name).bitwiseXOR(F.col(f"a_{name}"))) for name in names), F.lit(0))
+def most_apart(bits: int, similar: float) -> float:
+    """In how many of so many bits the fingerprints of two texts may differ that are compared."""
+    share = np.arccos(2 * similar / (1 + similar)) / np.pi
+    return bits * share + 5 * sqrt(bits * share * (1 - share))
 
 
 def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def grouped(texts: DataFrame) -> DataFrame:
-    """(key, band, node, size, bits, parities): the groups of each node that have another node."""
+def signed(texts: DataFrame, tables: int) -> DataFrame:
+    """(name, prints, size, parity, node): one row per different text of ``texts`` (name, text), numbered."""
     numbers = pa.list_(pa.int64())
-    schema = pa.schema([("node", pa.binary()), ("size", pa.int64()), ("keys", numbers), ("bits", numbers), ("parity", numbers)])
+    schema = pa.schema([("name", pa.binary()), ("prints", numbers), ("size", pa.int64()), ("parity", numbers)])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts, sizes, made = batch.column(1).cast(pa.large_binary()), [], []
-            for at in range(batch.num_rows):
-                found = shingles(texts[at].as_py())
-                sizes.append(len(found))
-                made.append(signature(found))
-            columns = [pa.array(column, field.type) for column, field in zip((sizes, *zip(*made, strict=True)), list(schema)[1:], strict=True)]
+            texts = batch.column(1).cast(pa.large_binary())
+            made = [signature(shingles(texts[at].as_py()), tables) for at in range(batch.num_rows)]
+            columns = [pa.array(column, field.type) for column, field in zip(zip(*made, strict=True), list(schema)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
-    signed = texts.mapInArrow(make, "node binary, size long, keys array<long>, bits array<long>, parity array<long>").dropDuplicates(["node"])
-    signed = stage(signed, "signatures")
-    keyed = signed.select(F.posexplode("keys").alias("band", "key"), "node")
-    shared = keyed.groupBy("key").count().where("count > 1").select("key")
-    bits = [F.col("bits")[i].alias(name) for i, name in enumerate(WORDS)]
-    bits += [F.col("parity")[i].alias(name) for i, name in enumerate(PARITIES)]
-    met = keyed.join(shared, "key", "left_semi")
-    return stage(met.join(signed.select("node", "size", *bits), "node"), "shared-groups")
+    made = texts.mapInArrow(make, "name binary, prints array<long>, size long, parity array<long>").dropDuplicates(["name"])
+    return stage(made.withColumn("node", F.monotonically_increasing_id()), "signatures")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+def in_groups(nodes: DataFrame, labels: DataFrame | None, low: int, high: int, bits: int, tables: int, again: bool) -> DataFrame:
+    """A row (key, node, part, size, ...) for each node and each of its fingerprints from ``low`` to ``high``.
+
+    The own fingerprint and two others follow; where groups come ``again``, all others and the parities.
+    """
+    part = F.lit(None).cast("long")
+    if labels is not None:
+        nodes, part = nodes.join(labels, "node", "left"), F.col("component")
+    others = tables - 1 if again else min(2, tables - 1)
+
+    def row(at: Column) -> Column:
+        own = F.element_at("prints", at + 1)
+        # One number: the fingerprint's place, then its first bits.
+        key = F.shiftleft(at.cast("long"), bits) + F.shiftrightunsigned(own, 64 - bits)
+        further = [F.element_at("prints", (at + i) % tables + 1).alias(f"other{i}") for i in range(1, others + 1)]
+        return F.struct(key.alias("key"), own.alias("own"), *further)
+
+    rows = F.inline(F.transform(F.sequence(F.lit(low), F.lit(high - 1)), row))
+    columns = ["node", F.coalesce(part, "node").alias("part"), "size"]
+    if again:
+        columns += [F.col("parity")[i].alias(f"parity{i}") for i in range(PARITY_BITS // 64)]
+    names = ["own", *[f"other{i}" for i in range(1, others + 1)], *[f"parity{i}" for i in range(PARITY_BITS // 64 if again else 0)]]
+    return nodes.select(*columns, rows).select(*FIELDS, *names)
+
+
+def runs(keys: np.ndarray, codes: np.ndarray, run_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by group and Gray rank; the group of each row in it, and the run within which it is searched."""
+    group = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]]))
+    order = np.lexsort((gray_rank(codes), group))
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    place = np.arange(len(group)) - first[group]
+    return order, group, np.cumsum(place % run_rows == 0) - 1
+
+
+def outside_largest(run: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Whether a row is outside the part that has most rows of its run."""
+    order = np.lexsort((part, run))
+    starts = np.flatnonzero(np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (part[order][1:] != part[order][:-1])]))
+    rows = np.diff(np.append(starts, len(run)))
+    by_rows = np.lexsort((rows, run[order][starts]))
+    last = np.append(np.diff(run[order][starts][by_rows]) != 0, True)
+    largest = part[order][starts][by_rows][last]  # one for each run, in order
+    return part != largest[run]
+
+
+def candidates(batches: Iterator[pa.RecordBatch], words: int, similar: float, partners: int, run_rows: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, a_part, b_part) of nodes that may be similar, and the keys of groups that must come again.
+
+    Rows are those of ``in_groups``, sorted by key, with ``words`` fingerprints. A key stands in a row without a pair.
+    """
+    schema = pa.schema([(name, pa.int64()) for name in ("key", "a", "b", "a_part", "b_part")])
+    apart = most_apart(64 * words, similar)
+
+    for keys, node, part, size, *numbers in whole_groups(batches):
+        order, group, run = runs(keys, numbers[0].view(np.uint64), run_rows)
+        node, part, size = node[order], part[order], size[order]
+        numbers = [x[order].view(np.uint64) for x in numbers]
+        sought = outside_largest(run, part)
+        taken = np.zeros(len(keys), np.int64)
+        again = np.bincount(group, np.append(group[1:] == group[:-1], False) & np.append(run[1:] != run[:-1], False)) > 0
+        pairs = []
+        for left, right in GrayIndex(numbers[0], run, sought).pairs(DISTANCE):
+            low, high = (f(size[left], size[right]) for f in (np.minimum, np.maximum))
+            kept = (part[left] != part[right]) & (low >= high * similar)
+            left, right = left[kept], right[kept]
+            bits = sum(np.bitwise_count(x[left] ^ x[right]).astype(np.int64) for x in numbers[:words])
+            kept = bits <= apart
+            if len(numbers) > words:
+                # Sets of a and b shingles that differ in d have a similarity of (a + b - d) / (a + b + d).
+                odd = sum(np.bitwise_count(x[left] ^ x[right]).astype(np.int64) for x in numbers[words:])
+                kept &= odd * (1 + similar) <= (size[left] + size[right]) * (1 - similar) + 1e-6
+            nearest = np.lexsort((bits[kept], left[kept]))
+            left, right = left[kept][nearest], right[kept][nearest]
+            starts = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]])) if len(left) else left
+            rank = np.arange(len(left)) - np.repeat(starts, np.diff(np.append(starts, len(left))))
+            kept = rank + taken[left] < partners
+            np.add.at(taken, left, 1)
+            again[group[left[~kept]]] = True
+            pairs.append((left[kept], right[kept]))
+        if pairs:
+            left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            ends = [pa.array(x) for x in (node[left], node[right], part[left], part[right])]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(left), pa.int64()), *ends], schema=schema)
+        # A group in one part has nothing left.
+        mixed = np.bincount(group, sought | np.append(part[1:] != part[:-1], False) & np.append(group[1:] == group[:-1], False)) > 0
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        open_ = keys[first][again & mixed]
+        yield pa.RecordBatch.from_arrays([pa.array(open_), *[pa.nulls(len(open_), pa.int64())] * 4], schema=schema)
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """The parts (a_part, b_part) of the ``pairs`` (a, b, a_part, b_part) whose texts are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +225,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
                 kept.append(similarity(held, shingles(right[at].as_py())) >= similar)
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(kept, pa.bool_())) for i in (1, 2)], names=["a_part", "b_part"])
 
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    names = nodes.select("node", "name").join(wanted, "node", "left_semi")
+    texts = stage(texts.join(names, "name").groupBy("node").agg(F.min("text").alias("text")), "compared-texts")
     rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
     rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    return rows.select("a", "a_part", "b_part", "left", "right").mapInArrow(compare, "a_part binary, b_part binary")
+    return rows.select("a", "a_part", "b_part", "left", "right").mapInArrow(compare, "a_part long, b_part long")
 
 
 def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -158,61 +243,55 @@ def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage(kept.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "node-labels")
 
 
-def linked(texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(node, component) of the nodes of ``texts`` (node, text) that have a near copy."""
-    rows = grouped(texts)
-    wanted = rows.select("node").distinct()
-    texts = stage(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "compared-texts")
-    labels = None
-    for low, high in PORTIONS:
-        portion = rows.where(F.col("band").between(low, high - 1)).drop("band")
-        labels = linked_by(portion, texts, labels, similar)
-    return labels
-
-
-def linked_by(rows: DataFrame, texts: DataFrame, labels: DataFrame | None, similar: float) -> DataFrame | None:
-    """``labels`` with the links that the groups in ``rows`` add."""
-    alike = F.least("size", "a_size") >= F.greatest("size", "a_size") * F.lit(similar)
-    alike &= differing(WORDS) <= most_apart(similar)
-    # Sets of a and b shingles that differ in d have a similarity of (a + b - d) / (a + b + d).
-    alike &= differing(PARITIES) * F.lit(1 + similar) <= (F.col("size") + F.col("a_size")) * F.lit(1 - similar) + F.lit(1e-6)
-    centres = 1
+def linked(texts: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame | None]:
+    """The nodes (name, node) of ``texts`` (name, text), and (node, component) of those that have a near copy."""
+    bits, tables = tables_for(texts.count())
+    nodes = signed(texts, tables)
+    labels, low = None, 0
+    for high in sorted({min(end, tables) for end in (*PORTIONS, tables)}):
+        labels = linked_by(nodes, texts, labels, similar, low, high, bits, tables)
+        low = high
+    return nodes.select("name", "node"), labels
+
+
+def linked_by(nodes: DataFrame, texts: DataFrame, labels: DataFrame | None, similar: float, low: int, high: int, bits: int, tables: int) -> DataFrame | None:
+    """``labels`` with the links that the groups by the fingerprints from ``low`` to ``high`` add."""
+    keys, partners, run_rows = None, 1, RUN_ROWS
     while True:
-        named = rows.withColumn("part", F.col("node"))
-        if labels is not None:
-            named = rows.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-        named = stage(named.withColumn("place", F.xxhash64("node")), "parts")
-        groups = named.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("members"), F.min("part").alias("low"), F.max("part").alias("high"))
-        # A share of the hashes that holds about so many nodes, and the first in any case.
-        share = (F.least(F.lit(float(centres)) / F.col("members"), F.lit(0.999)) - 0.5) * F.lit(2.0**64)
-        groups = stage(groups.where("low <> high").select("key", F.greatest("first", share.cast("long")).alias("bound")), "open-groups")
-        if groups.isEmpty():
-            return labels
-        open_ = stage(named.join(groups, "key"), "open-nodes")
-        own = ["size", *WORDS, *PARITIES, "part"]
-        chosen = open_.where("place <= bound").select("key", F.col("node").alias("a"), *[F.col(name).alias(f"a_{name}") for name in own])
-        other = (F.col("part") != F.col("a_part")) & ((F.col("place") > F.col("bound")) | (F.col("a") < F.col("node")))
-        met = open_.join(chosen, (open_["key"] == chosen["key"]) & other & alike)
-        pairs = stage(met.select("a", F.col("node").alias("b"), "a_part", F.col("part").alias("b_part")).distinct(), "candidates")
-        found = stage(confirmed(pairs, texts, similar), "near-parts")
+        again = keys is not None
+        rows = in_groups(nodes, labels, low, high, bits, tables, again)
+        if again:
+            rows = rows.join(keys, "key", "left_semi")
+        words = tables if again else min(3, tables)
+
+        def search(batches, words=words, partners=partners, run_rows=run_rows):
+            return candidates(batches, words, similar, partners, run_rows)
+
+        made = rows.repartition("key").sortWithinPartitions("key").mapInArrow(search, "key long, a long, b long, a_part long, b_part long")
+        made = stage(made, "candidates")
+        pairs = made.where("a is not null").drop("key").dropDuplicates(["a", "b"])
+        found = stage(confirmed(pairs, nodes, texts, similar).distinct(), "near-parts")
         if not found.isEmpty():
-            labels = joined_labels(labels, found.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct())
-        rows = open_.where("place > bound").select("key", "node", "size", *WORDS, *PARITIES)
-        centres *= 4
+            labels = joined_labels(labels, found.toDF("a", "b"))
+        keys = made.where("a is null").select("key")
+        if keys.isEmpty():
+            return labels
+        partners, run_rows = partners * 4, run_rows * 4
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id."""
     doc_id, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
-    marked = docs.select(doc_id.alias("doc_id"), node_of(text).alias("node"), F.coalesce(text, F.lit("")).alias("text"))
-    labels = linked(marked.select("node", "text"), similar)
+    marked = docs.select(doc_id.alias("doc_id"), node_of(text).alias("name"), F.coalesce(text, F.lit("")).alias("text"))
+    nodes, labels = linked(marked.select("name", "text"), similar)
     # Ids in order, no id last.
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")
-    firsts = marked.groupBy("node").agg(F.min(place).alias("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "name")
+    firsts = marked.groupBy("name").agg(F.min(place).alias("first"))
     if labels is not None:
-        part = F.coalesce("component", "node")
-        firsts = firsts.join(labels, "node", "left").groupBy(part.alias("component")).agg(F.min("first").alias("first"))
-    row = [F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias(" id"), F.col("first.node").alias(" node")]
+        part = F.coalesce(F.col("component").cast("string").cast("binary"), "name")
+        labels = nodes.join(labels, "node").select("name", "component")
+        firsts = firsts.join(labels, "name", "left").groupBy(part.alias("component")).agg(F.min("first").alias("first"))
+    row = [F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias(" id"), F.col("first.name").alias(" node")]
     kept = stage(firsts.select(*row), "kept-rows")
     named = docs.withColumns({" id": F.coalesce(doc_id.cast("string"), F.lit("")), " node": node_of(text)})
     return named.join(kept, [" id", " node"], "left_semi").dropDuplicates([" id", " node"]).select(docs.columns)

@@ -45,6 +45,8 @@ LAST_GROUP_BITS = 20
 FANOUT = 8
 FRONTIER = 1 << 20  # pairs of search and node looked at together
 TASK_ROWS = 1 << 15  # fingerprints indexed together, in whole groups
+CHUNK = 1 << 11  # shingles counted together
+STEPS = np.random.default_rng(SEED).integers(0, 1 << 64, 1 << 10, np.uint64)  # one per further fingerprint
 # How many of the bytes with value v at place p vote for which bit.
 BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -64,6 +66,52 @@ def fingerprint_of(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> in
     return int.from_bytes(np.packbits(2 * votes.ravel() > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def mixed(hashes: np.ndarray, count: int) -> np.ndarray:
+    """For each hash a row of ``count`` numbers: the hash itself and others that are independent of it."""
+    wide = hashes[:, None] + STEPS[:count]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        wide ^= wide >> np.uint64(shift)
+        wide *= np.uint64(factor)
+    wide ^= wide >> np.uint64(31)
+    wide[:, 0] = hashes
+    return wide
+
+
+def fingerprints_of(hashes: np.ndarray, count: int) -> np.ndarray:
+    """``count`` fingerprints of the shingles with these hashes: the majority bits of each column of ``mixed``.
+
+    Votes are counted for all bits at once: ``sums[w]`` holds bit w of every count.
+    """
+    sums: list[np.ndarray] = []
+    for at in range(0, len(hashes), CHUNK):
+        rows, weight = mixed(hashes[at : at + CHUNK], count), 0
+        while len(rows):
+            if weight == len(sums):
+                sums.append(rows[:0])
+            rows, carried = np.concatenate([sums[weight], rows]), []
+            while len(rows) > 2:
+                third = len(rows) // 3
+                a, b, c = rows[:third], rows[third : 2 * third], rows[2 * third : 3 * third]
+                either = a ^ b
+                carried.append(a & b | either & c)
+                rows = np.concatenate([either ^ c, rows[3 * third :]])
+            if len(rows) == 2:
+                carried.append(rows[:1] & rows[1:])
+                rows = rows[:1] ^ rows[1:]
+            sums[weight] = rows
+            rows = np.concatenate(carried) if carried else rows[:0]
+            weight += 1
+    more, equal = np.zeros(count, np.uint64), np.full(count, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for weight in reversed(range(len(sums))):
+        bits = sums[weight][0]  # every weight that was reached has one row left
+        if len(hashes) // 2 >> weight & 1:
+            equal &= bits
+        else:
+            more |= equal & bits
+            equal &= ~bits
+    return more
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit number."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
@@ -88,19 +136,21 @@ class GrayIndex:
     """A hierarchy over codes in Gray order; level 0 has one node per code.
 
     ``group`` names the group of each code. Codes lie group by group, and a search stays
-    within its group.
+    within its group. Only the codes marked in ``sought`` are searched for, among all.
     """
 
-    def __init__(self, codes: np.ndarray, group: np.ndarray):
+    def __init__(self, codes: np.ndarray, group: np.ndarray, sought: np.ndarray | None = None):
         self.codes, self.group = codes, group
         every, some = [codes], [codes]
         first, last = [group], [group]
+        self.sought = [np.ones(len(codes), bool) if sought is None else sought]  # whether all codes of a node are
         while len(every[-1]) > FANOUT:
             at = np.arange(0, len(every[-1]), FANOUT)
             every.append(np.bitwise_and.reduceat(every[-1], at))
             some.append(np.bitwise_or.reduceat(some[-1], at))
             first.append(first[-1][at])
             last.append(last[-1][np.minimum(at + FANOUT, len(last[-1])) - 1])
+            self.sought.append(np.logical_and.reduceat(self.sought[-1], at))
         shared = [~(a ^ b) for a, b in zip(every, some, strict=True)]
         self.values, self.first, self.last = every, first, last
         # The bits a node adds to what its parent has.
@@ -111,8 +161,9 @@ class GrayIndex:
         top = len(self.values) - 1
         roots = np.arange(len(self.values[top]))
         chunk = max(1, FRONTIER // max(1, len(roots)))
-        for begin in range(0, len(self.codes), chunk):
-            searches = np.arange(begin, min(begin + chunk, len(self.codes)))
+        sought = np.flatnonzero(self.sought[0])
+        for begin in range(0, len(sought), chunk):
+            searches = sought[begin : begin + chunk]
             yield from self._descend(top, np.repeat(searches, len(roots)), np.tile(roots, len(searches)), np.zeros(len(searches) * len(roots), np.uint8), distance)
 
     def _descend(self, level: int, search: np.ndarray, node: np.ndarray, sum_: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -122,8 +173,9 @@ class GrayIndex:
             yield from self._descend(level, search[half:], node[half:], sum_[half:], distance)
             return
         group = self.group[search]
-        # Each pair once: runs that end in front of the search are left out.
-        near = ((node + 1) * FANOUT**level > search + 1) & (self.first[level][node] <= group) & (self.last[level][node] >= group)
+        # Each pair once: runs that end in front of the search are left out if they search as well.
+        near = ((node + 1) * FANOUT**level > search + 1) | ~self.sought[level][node]
+        near &= (self.first[level][node] <= group) & (self.last[level][node] >= group)
         search, node, sum_ = search[near], node[near], sum_[near]
         sum_ = sum_ + np.bitwise_count((self.codes[search] ^ self.values[level][node]) & self.own[level][node])
         near = sum_ <= distance
@@ -154,29 +206,33 @@ def spanning(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.nd
     return label
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of some whole groups at a time; rows of numbers come sorted by the first column, the key."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        held.append([column.to_numpy() for column in batch.columns])
+        if sum(len(x[0]) for x in held) >= TASK_ROWS:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            whole = np.searchsorted(columns[0], columns[0][-1])  # the last group may go on
+            if whole:
+                yield [column[:whole] for column in columns]
+            held = [[column[whole:] for column in columns]]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def local_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Spanning links of each group; rows (key, fp, node) come sorted by key."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def linked(keys: np.ndarray, codes: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    for keys, codes, nodes in whole_groups(batches):
+        codes = codes.view(np.uint64)
         group = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]]))
         order = np.lexsort((gray_rank(codes), group))
         codes, group, nodes = codes[order], group[order], nodes[order]
         label = spanning(len(codes), GrayIndex(codes, group).pairs(distance))
         tied = np.flatnonzero(label != np.arange(len(label)))
-        return pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(nodes[label[tied]])], schema=schema)
-
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()))
-        if sum(len(x[0]) for x in held) >= TASK_ROWS:
-            keys, codes, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
-            whole = np.searchsorted(keys, keys[-1])  # the last group may go on
-            if whole:
-                yield linked(keys[:whole], codes[:whole], nodes[:whole])
-            held = [(keys[whole:], codes[whole:], nodes[whole:])]
-    if held:
-        yield linked(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(nodes[label[tied]])], schema=schema)
 
 
 def bands_of(free: list[int], count: int) -> list[list[int]]:
