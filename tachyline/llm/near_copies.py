@@ -17,7 +17,7 @@ of ``SIMILAR`` or more.
 4. Nodes that hang together form a part, and a search passes over its own part. Each search passes
    on its nearest other nodes only, one at first, and a group of more than ``RUN_ROWS`` nodes is
    searched in runs of that length, in Gray order. A group with more to pass on or more than one
-   run comes again, with four times as many, until nothing was left out: copies then hang together
+   run comes again, with sixteen times as many, until nothing was left out: copies then hang together
    already, and only nodes outside the largest part of a run search. So every pair found is
    compared unless its nodes already hang together, and a group of copies costs about one
    comparison per node, whatever its size. Rows that come again carry all fingerprints and the
@@ -276,7 +276,7 @@ def linked_by(nodes: DataFrame, texts: DataFrame, labels: DataFrame | None, simi
         keys = made.where("a is null").select("key")
         if keys.isEmpty():
             return labels
-        partners, run_rows = partners * 4, run_rows * 4
+        partners, run_rows = partners * 16, run_rows * 16
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 import corpus_pipeline
 from tachyline.llm import near_copies
 
@@ -110,3 +112,14 @@ def test_parities_never_part_similar_texts():
             assert apart <= len(left ^ right)
             if near_copies.similarity(left, right) >= 0.8:
                 assert apart * 1.8 <= (len(left) + len(right)) * 0.2 + 1e-6
+
+
+def test_a_group_of_copies_passes_on_one_pair_per_node():
+    """The index decides within a group; its pairs grow with the nodes, not with their square."""
+    nodes = 1500
+    columns = {"key": [7] * nodes, "node": range(nodes), "part": range(nodes), "size": [50] * nodes, "own": [3] * nodes, "other1": [5] * nodes}
+    batch = pa.RecordBatch.from_pydict({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+    rows = [row for made in near_copies.candidates(iter([batch]), 2, 0.8, 1, 2048) for row in made.to_pylist()]
+    pairs = [(row["a"], row["b"]) for row in rows if row["key"] is None]
+    assert len(pairs) == nodes - 1 and {node for pair in pairs for node in pair} == set(range(nodes))
+    assert [row["key"] for row in rows if row["key"] is not None] == [7]  # pairs were left out, so the group comes again

@@ -108,3 +108,23 @@ def test_keep_one_keeps_the_smallest_id(spark):
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == names
     doubled = docs.union(docs).withColumn("fp", F.lit(1))
     assert simhash.keep_one(doubled).count() == len(names)
+
+
+def test_several_fingerprints_are_majorities():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 2, 7, 100, 2048, 2049):
+        hashes = rng.integers(0, 1 << 64, size, np.uint64)
+        votes = simhash.mixed(hashes, 3)
+        want = [sum(1 << bit for bit in range(64) if 2 * sum(int(h) >> bit & 1 for h in column) > size) for column in votes.T]
+        assert simhash.fingerprints_of(hashes, 3).tolist() == want
+
+
+def test_index_searches_for_some_codes_among_all():
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 1 << 12, 500).astype(np.uint64)
+    codes = codes[np.argsort(simhash.gray_rank(codes))]
+    sought = rng.random(500) < 0.3
+    index = simhash.GrayIndex(codes, np.zeros(500, np.int64), sought)
+    found = [tuple(sorted((int(a), int(b)))) for left, right in index.pairs(2) for a, b in zip(left, right, strict=True)]
+    want = [(a, b) for a in range(500) for b in range(a + 1, 500) if (sought[a] or sought[b]) and int(codes[a] ^ codes[b]).bit_count() <= 2]
+    assert sorted(found) == want
