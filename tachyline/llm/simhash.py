@@ -43,7 +43,7 @@ DISTANCE = 3
 GROUP_ROWS = 2048  # larger groups are dealt anew
 LAST_GROUP_BITS = 20
 FANOUT = 8
-FRONTIER = 1 << 20  # pairs of search and node looked at together
+FRONTIER = 1 << 17  # pairs of search and node looked at together; a task holds some 400 bytes for each
 TASK_ROWS = 1 << 15  # fingerprints indexed together, in whole groups
 CHUNK = 1 << 11  # shingles counted together
 STEPS = np.random.default_rng(SEED).integers(0, 1 << 64, 1 << 10, np.uint64)  # one per further fingerprint

@@ -1,6 +1,7 @@
 """Fingerprints and groups against plain Python over all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -128,3 +129,18 @@ def test_index_searches_for_some_codes_among_all():
     found = [tuple(sorted((int(a), int(b)))) for left, right in index.pairs(2) for a, b in zip(left, right, strict=True)]
     want = [(a, b) for a in range(500) for b in range(a + 1, 500) if (sought[a] or sought[b]) and int(codes[a] ^ codes[b]).bit_count() <= 2]
     assert sorted(found) == want
+
+
+def test_index_searches_in_bounded_memory():
+    """Unlike codes and near copies in runs as long as a task takes them: a search holds a part of the pairs at a time."""
+    rng = np.random.default_rng(3)
+    run = np.arange(1 << 15) // 2048
+    unlike = rng.integers(0, 1 << 64, len(run), np.uint64)
+    near = np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, len(run), np.uint64))
+    for codes in (unlike, near):
+        codes = codes[np.lexsort((simhash.gray_rank(codes), run))]
+        tracemalloc.start()
+        found = sum(len(left) for left, _ in simhash.GrayIndex(codes, run).pairs(16))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100e6 and (found < 5000 or found == 16 * 2048 * 2047 // 2)
