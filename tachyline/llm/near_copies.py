@@ -3,7 +3,8 @@
 Two texts are near copies if their sets of ``SHINGLE_WORDS``-word shingles have a Jaccard similarity
 of ``SIMILAR`` or more.
 
-1. Equal texts are one node, named by their MD5 and numbered.
+1. Equal texts are one node, named by their MD5 and numbered. The texts move once, into buckets by name;
+   afterwards the few that are compared are found there by moving their names only.
 2. A node has several independent SimHash fingerprints of 64 bits (``simhash.fingerprints_of``). Each
    names a group by its first bits, so many that an even group has ``GROUP_ROWS`` nodes or fewer.
    Two texts at the limit agree in one bit with a chance of 0.85, of which 0.84 is counted on, and
@@ -16,15 +17,17 @@ of ``SIMILAR`` or more.
    expected at the limit. Then the texts are joined and compared by the whole shingle sets.
 4. Nodes that hang together form a part, and a search passes over its own part. Each search passes
    on its nearest other nodes only, one at first, and a group of more than ``RUN_ROWS`` nodes is
-   searched in runs of that length, in Gray order. A group with more to pass on or more than one
-   run comes again, with sixteen times as many, until nothing was left out: copies then hang together
-   already, and only nodes outside the largest part of a run search. So every pair found is
-   compared unless its nodes already hang together, and a group of copies costs about one
-   comparison per node, whatever its size. Rows that come again carry all fingerprints and the
+   searched in runs of that length, in Gray order. The nodes of pairs that were left out, and all of a
+   group of more than one run, come again, with sixteen times as many, until nothing was left out:
+   copies then hang together already, and only nodes outside the largest part of a run search. So
+   every pair found is compared unless its nodes already hang together, and a group of copies costs
+   about one comparison per node, whatever its size. Rows that come again carry all fingerprints and the
    parities: each shingle flips one of ``PARITY_BITS`` bits, so two texts differ in at least as
    many shingles as parity bits (exact). That decides nearly all pairs just below the limit, unless
    texts are so long that they differ in more shingles than there are bits. Fingerprints are worked
-   off in a few portions: copies hang together after the first, and do not meet again in all others.
+   off in portions of ``MOST_PORTION`` or fewer, which bounds what is shuffled at a time: copies hang
+   together after the first, and do not meet again in all others. Shuffled rows are dropped as soon as
+   the table made from them is written.
 
 Shingles are taken from the words of the text in lower-case ASCII; a text with fewer words
 is one shingle, and texts without words, NULL among them, are copies of each other. Of each
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 from tachyline.llm.common import LOWER_ASCII
 from tachyline.llm.components import components
 from tachyline.llm.simhash import GrayIndex, fingerprints_of, gray_rank, whole_groups
-from tachyline.session import stage
+from tachyline.session import settings, stage, staged_buckets
 
 SEED = 42
 SHINGLE_WORDS = 5
@@ -57,7 +60,8 @@ MISSED = 1e-4
 GROUP_ROWS = 512
 LEAST_BITS = 6
 DISTANCE = 16
-PORTIONS = (3, 12)  # fingerprints worked off together end here
+PORTIONS = (3, 12)  # the first fingerprints worked off together end here
+MOST_PORTION = 28
 RUN_ROWS = 2048
 PARITY_BITS = 1 << 10
 FIELDS = ["key", "node", "part", "size"]
@@ -103,8 +107,14 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def portions(tables: int) -> list[tuple[int, int]]:
+    """The first and the end of the fingerprints that are worked off together, for so many."""
+    ends = sorted({min(end, tables) for end in (*PORTIONS, *range(PORTIONS[-1] + MOST_PORTION, tables, MOST_PORTION), tables)})
+    return list(zip([0, *ends], ends))
+
+
 def signed(texts: DataFrame, tables: int) -> DataFrame:
-    """(name, prints, size, parity, node): one row per different text of ``texts`` (name, text), numbered."""
+    """(name, prints, size, parity, node): the different ``texts`` (name, text), numbered."""
     numbers = pa.list_(pa.int64())
     schema = pa.schema([("name", pa.binary()), ("prints", numbers), ("size", pa.int64()), ("parity", numbers)])
 
@@ -117,18 +127,25 @@ def signed(texts: DataFrame, tables: int) -> DataFrame:
             columns = [pa.array(column, field.type) for column, field in zip(zip(*made, strict=True), list(schema)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
-    made = texts.mapInArrow(make, "name binary, prints array<long>, size long, parity array<long>").dropDuplicates(["name"])
+    made = texts.mapInArrow(make, "name binary, prints array<long>, size long, parity array<long>")
     return stage(made.withColumn("node", F.monotonically_increasing_id()), "signatures")
 
 
-def in_groups(nodes: DataFrame, labels: DataFrame | None, low: int, high: int, bits: int, tables: int, again: bool) -> DataFrame:
+def in_groups(nodes: DataFrame, labels: DataFrame | None, left_out: DataFrame | None, low: int, high: int, bits: int, tables: int) -> DataFrame:
     """A row (key, node, part, size, ...) for each node and each of its fingerprints from ``low`` to ``high``.
 
-    The own fingerprint and two others follow; where groups come ``again``, all others and the parities.
+    The own fingerprint and two others follow. If some come again, only the rows ``left_out`` (key, node) are
+    made, with all other fingerprints and the parities.
     """
-    part = F.lit(None).cast("long")
+    again, part = left_out is not None, F.lit(None).cast("long")
+    places = F.sequence(F.lit(low), F.lit(high - 1))
+    rows = nodes
+    if again:
+        rows, places = left_out.select("node", F.shiftright("key", bits).cast("int").alias("place")), F.array("place")
     if labels is not None:
-        nodes, part = nodes.join(labels, "node", "left"), F.col("component")
+        rows, part = rows.join(labels, "node", "left"), F.col("component")
+    if again:
+        rows = rows.join(nodes, "node")
     others = tables - 1 if again else min(2, tables - 1)
 
     def row(at: Column) -> Column:
@@ -138,12 +155,12 @@ def in_groups(nodes: DataFrame, labels: DataFrame | None, low: int, high: int, b
         further = [F.element_at("prints", (at + i) % tables + 1).alias(f"other{i}") for i in range(1, others + 1)]
         return F.struct(key.alias("key"), own.alias("own"), *further)
 
-    rows = F.inline(F.transform(F.sequence(F.lit(low), F.lit(high - 1)), row))
+    made = F.inline(F.transform(places, row))
     columns = ["node", F.coalesce(part, "node").alias("part"), "size"]
     if again:
         columns += [F.col("parity")[i].alias(f"parity{i}") for i in range(PARITY_BITS // 64)]
     names = ["own", *[f"other{i}" for i in range(1, others + 1)], *[f"parity{i}" for i in range(PARITY_BITS // 64 if again else 0)]]
-    return nodes.select(*columns, rows).select(*FIELDS, *names)
+    return rows.select(*columns, made).select(*FIELDS, *names)
 
 
 def runs(keys: np.ndarray, codes: np.ndarray, run_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,11 +184,13 @@ def outside_largest(run: np.ndarray, part: np.ndarray) -> np.ndarray:
 
 
 def candidates(batches: Iterator[pa.RecordBatch], words: int, similar: float, partners: int, run_rows: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, a_part, b_part) of nodes that may be similar, and the keys of groups that must come again.
+    """Pairs (a, b, a_part, b_part) of nodes that may be similar, and the key and nodes of groups that must come again.
 
-    Rows are those of ``in_groups``, sorted by key, with ``words`` fingerprints. A key stands in a row without a pair.
+    Rows are those of ``in_groups``, sorted by key, with ``words`` fingerprints. A key stands in a row without a pair,
+    with the nodes that come again: those of pairs left out, and all where the group has more than one run.
     """
-    schema = pa.schema([(name, pa.int64()) for name in ("key", "a", "b", "a_part", "b_part")])
+    many = pa.list_(pa.int64())
+    schema = pa.schema([*[(name, pa.int64()) for name in ("key", "a", "b", "a_part", "b_part")], ("nodes", many)])
     apart = most_apart(64 * words, similar)
 
     for keys, node, part, size, *numbers in whole_groups(batches):
@@ -180,7 +199,8 @@ def candidates(batches: Iterator[pa.RecordBatch], words: int, similar: float, pa
         numbers = [x[order].view(np.uint64) for x in numbers]
         sought = outside_largest(run, part)
         taken = np.zeros(len(keys), np.int64)
-        again = np.bincount(group, np.append(group[1:] == group[:-1], False) & np.append(run[1:] != run[:-1], False)) > 0
+        cut = np.bincount(group, np.append(group[1:] == group[:-1], False) & np.append(run[1:] != run[:-1], False)) > 0
+        again = cut[group]
         pairs = []
         for left, right in GrayIndex(numbers[0], run, sought).pairs(DISTANCE):
             low, high = (f(size[left], size[right]) for f in (np.minimum, np.maximum))
@@ -198,21 +218,25 @@ def candidates(batches: Iterator[pa.RecordBatch], words: int, similar: float, pa
             rank = np.arange(len(left)) - np.repeat(starts, np.diff(np.append(starts, len(left))))
             kept = rank + taken[left] < partners
             np.add.at(taken, left, 1)
-            again[group[left[~kept]]] = True
+            again[left[~kept]] = again[right[~kept]] = True
             pairs.append((left[kept], right[kept]))
         if pairs:
             left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
             ends = [pa.array(x) for x in (node[left], node[right], part[left], part[right])]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(left), pa.int64()), *ends], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(left), pa.int64()), *ends, pa.nulls(len(left), many)], schema=schema)
         # A group in one part has nothing left.
         mixed = np.bincount(group, sought | np.append(part[1:] != part[:-1], False) & np.append(group[1:] == group[:-1], False)) > 0
-        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        open_ = keys[first][again & mixed]
-        yield pa.RecordBatch.from_arrays([pa.array(open_), *[pa.nulls(len(open_), pa.int64())] * 4], schema=schema)
+        open_ = np.flatnonzero(again & mixed[group])
+        first = np.flatnonzero(np.diff(group[open_], prepend=-1))
+        nodes = pa.ListArray.from_arrays(pa.array(np.append(first, len(open_)), pa.int32()), pa.array(node[open_]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys[open_[first]]), *[pa.nulls(len(first), pa.int64())] * 4, nodes], schema=schema)
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
-    """The parts (a_part, b_part) of the ``pairs`` (a, b, a_part, b_part) whose texts are similar."""
+    """The parts (a_part, b_part) of the ``pairs`` (a, b, a_part, b_part) whose texts are similar.
+
+    ``texts`` (name, text) lie in buckets by name, where they stay; the names wanted go there and are held by bucket.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, set()
@@ -227,7 +251,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similar: flo
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     names = nodes.select("node", "name").join(wanted, "node", "left_semi")
-    texts = stage(texts.join(names, "name").groupBy("node").agg(F.min("text").alias("text")), "compared-texts")
+    texts = stage(texts.join(names.hint("shuffle_hash"), "name").select("node", "text"), "compared-texts")
     rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
     rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
     return rows.select("a", "a_part", "b_part", "left", "right").mapInArrow(compare, "a_part long, b_part long")
@@ -245,36 +269,34 @@ def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def linked(texts: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame | None]:
     """The nodes (name, node) of ``texts`` (name, text), and (node, component) of those that have a near copy."""
-    bits, tables = tables_for(texts.count())
-    nodes = signed(texts, tables)
-    labels, low = None, 0
-    for high in sorted({min(end, tables) for end in (*PORTIONS, tables)}):
-        labels = linked_by(nodes, texts, labels, similar, low, high, bits, tables)
-        low = high
+    labels = None
+    with settings(texts.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        bits, tables = tables_for(texts.count())
+        with staged_buckets(texts.groupBy("name").agg(F.min("text").alias("text")), "name", "different-texts") as different:
+            nodes = signed(different, tables)
+            for low, high in portions(tables):
+                labels = linked_by(nodes, different, labels, similar, low, high, bits, tables)
     return nodes.select("name", "node"), labels
 
 
 def linked_by(nodes: DataFrame, texts: DataFrame, labels: DataFrame | None, similar: float, low: int, high: int, bits: int, tables: int) -> DataFrame | None:
     """``labels`` with the links that the groups by the fingerprints from ``low`` to ``high`` add."""
-    keys, partners, run_rows = None, 1, RUN_ROWS
+    left_out, partners, run_rows = None, 1, RUN_ROWS
     while True:
-        again = keys is not None
-        rows = in_groups(nodes, labels, low, high, bits, tables, again)
-        if again:
-            rows = rows.join(keys, "key", "left_semi")
-        words = tables if again else min(3, tables)
+        rows = in_groups(nodes, labels, left_out, low, high, bits, tables)
+        words = tables if left_out is not None else min(3, tables)
 
         def search(batches, words=words, partners=partners, run_rows=run_rows):
             return candidates(batches, words, similar, partners, run_rows)
 
-        made = rows.repartition("key").sortWithinPartitions("key").mapInArrow(search, "key long, a long, b long, a_part long, b_part long")
+        made = rows.repartition("key").sortWithinPartitions("key").mapInArrow(search, "key long, a long, b long, a_part long, b_part long, nodes array<long>")
         made = stage(made, "candidates")
-        pairs = made.where("a is not null").drop("key").dropDuplicates(["a", "b"])
+        pairs = made.where("a is not null").drop("key", "nodes").dropDuplicates(["a", "b"])
         found = stage(confirmed(pairs, nodes, texts, similar).distinct(), "near-parts")
         if not found.isEmpty():
             labels = joined_labels(labels, found.toDF("a", "b"))
-        keys = made.where("a is null").select("key")
-        if keys.isEmpty():
+        left_out = made.where("a is null").select("key", F.explode("nodes").alias("node"))
+        if left_out.isEmpty():
             return labels
         partners, run_rows = partners * 16, run_rows * 16
 

@@ -1,10 +1,13 @@
 """The near-dedup stage against exact similarity over all pairs."""
 
 import random
+import time
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tachyline import session
 from tachyline.llm import near_copies
 
 SCHEMA = "doc_id long, text string"
@@ -123,3 +126,68 @@ def test_a_group_of_copies_passes_on_one_pair_per_node():
     pairs = [(row["a"], row["b"]) for row in rows if row["key"] is None]
     assert len(pairs) == nodes - 1 and {node for pair in pairs for node in pair} == set(range(nodes))
     assert [row["key"] for row in rows if row["key"] is not None] == [7]  # pairs were left out, so the group comes again
+
+
+def test_only_nodes_of_pairs_left_out_come_again():
+    """Unlike texts stay away when a group comes again; three copies among them, with one partner each, come."""
+    rng = random.Random(3)
+    nodes = 200
+    own, other = ([rng.getrandbits(63) for _ in range(nodes)] for _ in range(2))
+    for at in (50, 90):
+        own[at], other[at] = own[10], other[10]
+    columns = {"key": [7] * nodes, "node": range(nodes), "part": range(nodes), "size": [50] * nodes, "own": own, "other1": other}
+    batch = pa.RecordBatch.from_pydict({name: pa.array(values, pa.int64()) for name, values in columns.items()})
+    rows = [row for made in near_copies.candidates(iter([batch]), 2, 0.8, 1, 2048) for row in made.to_pylist()]
+    (again,) = [row["nodes"] for row in rows if row["key"] is not None]
+    assert len([row for row in rows if row["key"] is None]) == 2 and set(again) < {10, 50, 90} and len(again) == 2
+    # A group searched in runs comes again as a whole: what lies in two runs has not met.
+    rows = [row for made in near_copies.candidates(iter([batch]), 2, 0.8, 1, 64) for row in made.to_pylist()]
+    assert [sorted(row["nodes"]) for row in rows if row["key"] is not None] == [list(range(nodes))]
+
+
+def test_rows_that_come_again_are_those_left_out(spark):
+    nodes = spark.range(40).selectExpr("id node", "array(id, -id, id * 99) prints", "5L size", "transform(sequence(1, 16), x -> id) parity")
+    labels = spark.createDataFrame([(3, 1)], "node long, component long")
+    key = (2 << 6) + (3 * 99 >> 58)
+    left_out = spark.createDataFrame([(key, 3), (key, 4)], "key long, node long")
+    rows = near_copies.in_groups(nodes, labels, left_out, 0, 3, 6, 3).collect()
+    assert sorted((r["key"], r["node"], r["part"], r["own"], r["other1"], r["other2"], r["parity15"]) for r in rows) == [(key, 3, 1, 297, 3, -3, 3), (key, 4, 4, 396, 4, -4, 4)]
+    assert near_copies.in_groups(nodes, labels, None, 0, 3, 6, 3).count() == 120
+
+
+def test_portions_are_bounded():
+    for tables in (1, 3, 27, 40, 121, 500):
+        made = near_copies.portions(tables)
+        assert [at for low, high in made for at in range(low, high)] == list(range(tables))
+        assert all(high - low <= 28 for low, high in made)
+
+
+def test_compared_texts_do_not_move(spark):
+    """Texts lie in buckets: of a join with names only the names are exchanged."""
+    texts = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("name"), F.repeat(F.lit("x y "), 50).alias("text"))
+    names = texts.where("name < '2'").select("name", F.lit(1).alias("node"))
+    with session.settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        with session.staged_buckets(texts, "name", "some-texts") as lying:
+            met = names.hint("shuffle_hash").join(lying, "name")
+            plan = met._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan and plan.count("Exchange") == 1 and met.count() == names.count() > 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("some_texts")]
+
+
+def test_no_shuffled_rows_are_left_behind(spark):
+    """Rounds drop what they shuffled when their tables are written, not when the driver collects garbage."""
+    texts = [" ".join(f"u{(n * 7 + i) % 900}" for i in range(60)) for n in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], SCHEMA)
+
+    def left():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+    before = left()
+    marked = docs.select(near_copies.node_of(docs["text"]).alias("name"), "text")
+    near_copies.linked(marked)
+    until = time.time() + 20
+    while left() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not left() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
