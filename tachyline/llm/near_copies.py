@@ -27,7 +27,7 @@ of ``SIMILAR`` or more.
    texts are so long that they differ in more shingles than there are bits. Fingerprints are worked
    off in portions of ``MOST_PORTION`` or fewer, which bounds what is shuffled at a time: copies hang
    together after the first, and do not meet again in all others. Shuffled rows are dropped as soon as
-   the table made from them is written.
+   the table made from them is written, and tables of texts or fingerprints when they have been used.
 
 Shingles are taken from the words of the text in lower-case ASCII; a text with fewer words
 is one shingle, and texts without words, NULL among them, are copies of each other. Of each
@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from tachyline.llm.common import LOWER_ASCII
 from tachyline.llm.components import components
 from tachyline.llm.simhash import GrayIndex, fingerprints_of, gray_rank, whole_groups
-from tachyline.session import settings, stage, staged_buckets
+from tachyline.session import settings, stage, staged, staged_buckets
 
 SEED = 42
 SHINGLE_WORDS = 5
@@ -114,7 +114,7 @@ def portions(tables: int) -> list[tuple[int, int]]:
 
 
 def signed(texts: DataFrame, tables: int) -> DataFrame:
-    """(name, prints, size, parity, node): the different ``texts`` (name, text), numbered."""
+    """(name, prints, size, parity, node): the different ``texts`` (name, text), numbered; numbers hold once it is staged."""
     numbers = pa.list_(pa.int64())
     schema = pa.schema([("name", pa.binary()), ("prints", numbers), ("size", pa.int64()), ("parity", numbers)])
 
@@ -128,7 +128,7 @@ def signed(texts: DataFrame, tables: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
     made = texts.mapInArrow(make, "name binary, prints array<long>, size long, parity array<long>")
-    return stage(made.withColumn("node", F.monotonically_increasing_id()), "signatures")
+    return made.withColumn("node", F.monotonically_increasing_id())
 
 
 def in_groups(nodes: DataFrame, labels: DataFrame | None, left_out: DataFrame | None, low: int, high: int, bits: int, tables: int) -> DataFrame:
@@ -251,10 +251,11 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similar: flo
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     names = nodes.select("node", "name").join(wanted, "node", "left_semi")
-    texts = stage(texts.join(names.hint("shuffle_hash"), "name").select("node", "text"), "compared-texts")
-    rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    return rows.select("a", "a_part", "b_part", "left", "right").mapInArrow(compare, "a_part long, b_part long")
+    with staged(texts.join(names.hint("shuffle_hash"), "name").select("node", "text"), "compared-texts") as texts:
+        rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+        made = rows.select("a", "a_part", "b_part", "left", "right").mapInArrow(compare, "a_part long, b_part long")
+        return stage(made.distinct(), "near-parts")
 
 
 def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -273,10 +274,10 @@ def linked(texts: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataF
     with settings(texts.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         bits, tables = tables_for(texts.count())
         with staged_buckets(texts.groupBy("name").agg(F.min("text").alias("text")), "name", "different-texts") as different:
-            nodes = signed(different, tables)
-            for low, high in portions(tables):
-                labels = linked_by(nodes, different, labels, similar, low, high, bits, tables)
-    return nodes.select("name", "node"), labels
+            with staged(signed(different, tables), "signatures") as nodes:
+                for low, high in portions(tables):
+                    labels = linked_by(nodes, different, labels, similar, low, high, bits, tables)
+                return stage(nodes.select("name", "node"), "nodes"), labels
 
 
 def linked_by(nodes: DataFrame, texts: DataFrame, labels: DataFrame | None, similar: float, low: int, high: int, bits: int, tables: int) -> DataFrame | None:
@@ -292,7 +293,7 @@ def linked_by(nodes: DataFrame, texts: DataFrame, labels: DataFrame | None, simi
         made = rows.repartition("key").sortWithinPartitions("key").mapInArrow(search, "key long, a long, b long, a_part long, b_part long, nodes array<long>")
         made = stage(made, "candidates")
         pairs = made.where("a is not null").drop("key", "nodes").dropDuplicates(["a", "b"])
-        found = stage(confirmed(pairs, nodes, texts, similar).distinct(), "near-parts")
+        found = confirmed(pairs, nodes, texts, similar)
         if not found.isEmpty():
             labels = joined_labels(labels, found.toDF("a", "b"))
         left_out = made.where("a is null").select("key", F.explode("nodes").alias("node"))

@@ -2,6 +2,7 @@
 
 import random
 import time
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -183,11 +184,13 @@ def test_no_shuffled_rows_are_left_behind(spark):
         disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
         return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
 
-    before = left()
+    before, known = left(), {path.name for path in Path(session.scratch_dir(spark)).iterdir()}
     marked = docs.select(near_copies.node_of(docs["text"]).alias("name"), "text")
     near_copies.linked(marked)
     until = time.time() + 20
     while left() - before and time.time() < until:
         time.sleep(0.5)
     assert not left() - before
+    tables = {path.name.rsplit("-", 1)[0] for path in Path(session.scratch_dir(spark)).iterdir() if path.name not in known}
+    assert "nodes" in tables and not tables & {"different-texts", "signatures", "compared-texts"}
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
